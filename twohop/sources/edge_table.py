@@ -12,6 +12,7 @@ def edge_table(table: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
     return edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
 
 
-def read_edge_table(spark: SparkSession, path: str, src: str = "src", dst: str = "dst") -> DataFrame:
+def read_edge_table(spark: SparkSession, path: str | list[str], src: str = "src", dst: str = "dst") -> DataFrame:
     """A Parquet edge table; only the two id columns are read."""
-    return edge_table(spark.read.parquet(path), src, dst)
+    paths = [path] if isinstance(path, str) else path
+    return edge_table(spark.read.parquet(*paths), src, dst)

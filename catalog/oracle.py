@@ -27,7 +27,7 @@ _JC = f"jc AS (SELECT cn.u, cn.v, {_JC_OF} AS score FROM cn JOIN t ON cn.u = t.u
 # Weights in units of 1e-12, summed as whole numbers, as the library defines them.
 _WEIGHT = "CASE WHEN degree > 1 THEN CAST(round(1e12 / log10(degree)) AS BIGINT) END"
 _AA_SUM = f"CAST(sum({_WEIGHT}) AS HUGEINT)"
-_AA_OF = "CAST(s // 1000000 AS DOUBLE) / 1e6 + CAST(s % 1000000 AS DOUBLE) / 1e12"
+_AA_OF = "CAST(s AS DOUBLE) / 1e12"
 _AA = f"""aa AS (SELECT u, v, {_AA_OF} AS score FROM (
   SELECT u, v, {_AA_SUM} AS s FROM w JOIN deg ON deg.node = w.k WHERE {_OPEN} GROUP BY u, v))"""
 

@@ -122,6 +122,7 @@ def test_top_k_bounds(edges_of):
 
 
 def test_weight_sum_in_two_parts(spark):
-    df = spark.createDataFrame([(5, 1_000_001), (6, 1)], "high bigint, low bigint")
-    first, second = [r[0] for r in df.select(adamic_adar_score(F.col("high"), F.col("low"))).collect()]
-    assert first == second == 6e-6 + 1e-12
+    parts = [(5, 1_000_001), (6, 1), (10**15, 7), (10**15 - 3, 3_000_007)]
+    df = spark.createDataFrame(parts, "high bigint, low bigint")
+    found = [r[0] for r in df.select(adamic_adar_score(F.col("high"), F.col("low"))).collect()]
+    assert found == [float(high * 10**6 + low) / 1e12 for high, low in parts]

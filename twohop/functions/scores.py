@@ -31,9 +31,13 @@ def weight_parts(weight: Column) -> tuple[Column, Column]:
 
 
 def adamic_adar_score(high: Column, low: Column) -> Column:
-    """The two summed parts as one double; equal sums give equal doubles however they were split."""
-    whole = high + _millionths(low)
-    return whole.cast("double") / F.lit(float(PART)) + (low % F.lit(PART)).cast("double") / F.lit(float(WEIGHT_SCALE))
+    """The two summed parts as one double: the exact sum, rounded once, so that order is kept."""
+    whole, rest = high + _millionths(low), low % F.lit(PART)
+    exact = whole.cast("decimal(20,0)") * F.lit(PART) + rest
+    fits = whole < F.lit(2**63 // PART - 1)
+    return F.when(fits, (whole * F.lit(PART) + rest).cast("double")).otherwise(exact.cast("double")) / F.lit(
+        float(WEIGHT_SCALE)
+    )
 
 
 def jaccard_ratio(common: Column, total: Column) -> Column:

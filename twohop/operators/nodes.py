@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 
 def source_nodes(bag: DataFrame) -> DataFrame:
-    """Per source of a bag: ``degree``, its edge rows, and ``fan_out``, its different targets."""
+    """Per source of a bag: ``degree``, its edge rows; ``fan_out``, its different targets; ``peak``, the
+    copies of its most repeated edge."""
     return bag.groupBy(F.col("src").alias("node")).agg(
-        F.sum("copies").alias("degree"), F.count(F.lit(1)).alias("fan_out")
+        F.sum("copies").alias("degree"), F.count(F.lit(1)).alias("fan_out"), F.max("copies").alias("peak")
     )
 
 

@@ -24,6 +24,19 @@ def _group_of(first: Column, second: Column) -> Column:
     return F.least(first, second) * F.lit(_SLICE_SPAN) + F.greatest(first, second)
 
 
+def source_rows(bag: DataFrame, names: list[str]) -> DataFrame:
+    """Bag rows with columns of their source: any of ``degree``, ``weight``, ``fan_out``, ``peak``."""
+    nodes = source_nodes(bag)
+    if "weight" in names:
+        nodes = nodes.withColumn("weight", inverse_log_weight(F.col("degree")))
+    return attach(bag, "src", nodes, {name: name for name in names})
+
+
+def linking_rows(rows: DataFrame) -> DataFrame:
+    """Without sources that have a single target: they link no two nodes."""
+    return rows.where(F.col("fan_out") > 1)
+
+
 def sliced_rows(rows: DataFrame, size: str, slice_rows: int, keep: list[str]) -> DataFrame:
     """``rows`` once per join group of their source; ``size`` is the column with the rows per source."""
     slices = F.ceil(F.col(size) / F.lit(slice_rows))
@@ -88,19 +101,12 @@ def wedges(
     if keep not in ("lt", "ne", "all"):
         raise ValueError(f"keep must be 'lt', 'ne' or 'all', not {keep!r}")
     bag = edge_bag(edges)
-    nodes = source_nodes(bag)
-    rows = attach(bag, "src", nodes, {"degree": "degree", "fan_out": "fan_out"})
-    shared = []
-    if degree:
-        shared.append("degree")
-    if weight:
-        rows = rows.withColumn("weight", inverse_log_weight(F.col("degree")))
-        shared.append("weight")
-    # A source with a single target links no two nodes.
-    linking = rows.where(F.col("fan_out") > 1)
+    shared = [name for name, wanted in (("degree", degree), ("weight", weight)) if wanted]
+    rows = source_rows(bag, [*shared, "fan_out"])
+    linking = linking_rows(rows)
     ends = []
     if end_degrees:
-        linking = attach(linking, "dst", nodes, {"degree": "end_degree"})
+        linking = attach(linking, "dst", source_nodes(bag), {"degree": "end_degree"})
         ends.append("end_degree")
     cells = sliced_rows(linking, "fan_out", tuning.slice_rows, [*shared, *ends])
     found = join_cells(cells, shared, ends)

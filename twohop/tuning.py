@@ -10,12 +10,12 @@ class Tuning:
     """``slice_rows``: a node's edge rows are cut into slices of about this many rows, and every
     two slices meet in their own join group, so no join group grows with the node.
 
-    ``top_slice_rows``: slice size used by the pruned top-k, both for the sample that sets its
-    threshold and for the final join.
+    ``light_fan_out``: the pruned top-k expands sources with up to this many targets in full, which costs
+    at most half as many wedges per edge row, and larger ones only where a pair may still rank.
     """
 
     slice_rows: int = 2_000
-    top_slice_rows: int = 256
+    light_fan_out: int = 128
 
 
 DEFAULT = Tuning()

@@ -29,8 +29,13 @@ def copies_of(edges: DataFrame) -> Column:
 
 
 def edge_bag(edges: DataFrame) -> DataFrame:
-    """Equal rows folded into one: ``(src, dst, copies)``. Folding starts before the shuffle."""
-    return edges.groupBy("src", "dst").agg(F.sum(copies_of(edges)).alias("copies"))
+    """Equal rows folded into one: ``(src, dst, copies)``. Folding starts before the shuffle.
+
+    A row lacking an id is no edge. Saying so here gives every use of the bag the same filter, and so
+    the same shuffle to share.
+    """
+    whole = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    return whole.groupBy("src", "dst").agg(F.sum(copies_of(edges)).alias("copies"))
 
 
 def degrees(edges: DataFrame) -> DataFrame:

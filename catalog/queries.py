@@ -33,7 +33,7 @@ from twohop.sources import bad_rows, drop_comments, parse_edges
 
 TOP = 100
 # At test scale no node is a hub by the default; these sizes send the top-k queries through the hub phases.
-SMALL_HUBS = Tuning(slice_rows=50, light_fan_out=12)
+SMALL_HUBS = Tuning(slice_rows=50, light_fan_out=24)
 
 
 def edge_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,10 +70,10 @@ def session(master, named=None, programmed=None):
     return SimpleNamespace(conf={"spark.checkpoint.dir": named} if named else {}, sparkContext=context)
 
 
-def test_shared_folder(spark):
+def test_shared_folder():
     assert shared_folder(session("yarn", "hdfs:///shared")) == "hdfs:///shared"
     assert shared_folder(session("yarn", None, "hdfs:///set")) == "hdfs:///set"
     assert shared_folder(session("local[2]", "/named")) == "/named"
-    assert shared_folder(spark).split("/")[-1].startswith("twohop-")
+    assert shared_folder(session("local[2]")).split("/")[-1].startswith("twohop-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(session("yarn"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twohop.llm import decontaminate, lines, substring
+from twohop.llm import decontaminate, language, lines, packing, quality, range_coder, substring, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,18 +30,71 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _remainder(n: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
+
+
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from labels whose crc32(doc_id) modulo 5 is not 0; ``toxic`` from a probability of 0.5."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    found = toxicity.score_toxicity(docs, labels, _remainder(5) != 0)
+    return found.select(
+        "doc_id",
+        (_remainder(5) == 0).alias("held_out"),
+        F.col("toxic").alias("score"),
+        (F.col("toxic") >= 0.5).cast("int").alias("predicted"),
+        (F.col("toxic") >= 0.5).alias("toxic"),
+        F.col("low_quality").alias("p_low_quality"),
+        F.col("severe").alias("p_severe"),
+    )
+
+
+def op3_range_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return range_coder.read_ids(range_coder.write_ids(docs, _tokenizer("word_bpe_49k.json"), end_id=1))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.drop_frequent_lines(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", _sha256("text").alias("kept_sha256"))
 
 
+def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), end_id=2)
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring.remove_repeats(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", _sha256("kept").alias("kept_sha256"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language.identify(_table(spark, sf_dir, "documents"), _remainder(4) != 2)
+    return found.select("doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    fold = F.pmod(F.floor(F.crc32(F.col("doc_id").cast("string")) / 5), F.lit(quality.FOLDS))
+    found = quality.score_quality(docs, labels, _remainder(5) != 0, fold)
+    return found.select(
+        "doc_id", (_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_toxicity": op2_toxicity,
+    "op3_range_coder": op3_range_coder,
     "op4_line_dedup": op4_line_dedup,
+    "op6_pack": op6_pack,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_language": op9_language,
+    "op10_quality": op10_quality,
 }

@@ -1,11 +1,12 @@
 """Line dedup: lines found in many documents stay only in the last of them.
 
 Lines are exploded, normalised and hashed; distinct documents are counted per hash; the lines of frequent
-hashes are dropped; what is left is put together by position. Only hashes and positions are shuffled, and
-the texts once, to meet their dropped positions. Counting first makes (hash, document) distinct, which
-spreads a line that is everywhere over all tasks, then adds up before the second shuffle.
+hashes are dropped; what is left is put together by position. The hashes of long enough lines are written out, so the
+texts are read for them once; the texts are shuffled once, to meet their dropped positions. Counting first makes
+(hash, document) distinct, which spreads a line that is everywhere over all tasks, then adds up before the
+second shuffle.
 
-Hashes are two 64-bit numbers, so that different lines do not meet.
+Hashes have 128 bits, so that different lines do not meet.
 
 Defined results: null or empty text is one empty line; a row without ``doc_id`` keeps all its lines and is not counted;
 rows with the same ``doc_id`` count as one document, and each is returned.
@@ -13,33 +14,75 @@ rows with the same ``doc_id`` count as one document, and each is returned.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twohop.llm.tables import texts_of
+from twohop.llm.words import pieces
+from twohop.store import write_out
 
 #: The blanks stripped at both ends of a line.
 BLANKS = " \t\n\x0b\x0c\r"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def line_key(line: Column) -> Column:
-    return F.translate(F.btrim(line, F.lit(BLANKS)), UPPER, LOWER)
+def line_key(line: str) -> str:
+    """The line without blanks at its ends, A-Z as a-z."""
+    return line.strip(BLANKS).encode().lower().decode()
+
+
+def _hashes(min_chars: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches):
+            rows, places, digests = [], [], []
+            for row, text in enumerate(piece.column("text").to_pylist()):
+                for place, line in enumerate((text or "").split("\n")):
+                    if len(line) >= min_chars and len(key := line_key(line)) >= min_chars:
+                        rows.append(row)
+                        places.append(place)
+                        digests.append(hashlib.blake2b(key.encode(), digest_size=16).digest())
+            hashes = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "doc_id": piece.column("doc_id").take(pa.array(rows, pa.int64())),
+                    "pos": pa.array(places, pa.int32()),
+                    "h1": pa.array(hashes[:, 0]),
+                    "h2": pa.array(hashes[:, 1]),
+                }
+            )
 
+    return run
 
-def _lines(text: Column) -> Column:
-    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
+
+def _reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for piece in pieces(batches):
+        texts, n_lines, n_dropped = [], [], []
+        for text, gone in zip(piece.column("text").to_pylist(), piece.column("gone").to_pylist(), strict=True):
+            lines = (text or "").split("\n")
+            out = set(gone or ())
+            kept = [x for i, x in enumerate(lines) if i not in out] if out else lines
+            texts.append("\n".join(kept))
+            n_lines.append(len(lines))
+            n_dropped.append(len(lines) - len(kept))
+        yield pa.RecordBatch.from_pydict(
+            {
+                "doc_id": piece.column("doc_id"),
+                "text": pa.array(texts, pa.string()),
+                "n_lines": pa.array(n_lines, pa.int64()),
+                "n_dropped": pa.array(n_dropped, pa.int64()),
+            }
+        )
 
 
 def drop_frequent_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """``doc_id, text, n_lines, n_dropped`` of every document."""
     texts = texts_of(docs)
-    lines = texts.where("doc_id is not null").select("doc_id", F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
-    # A key has no more characters than its line, nor fewer bytes than characters: cheap tests first.
-    lines = lines.where(F.octet_length("line") >= min_chars).select("doc_id", "pos", line_key(F.col("line")).alias("key"))
-    lines = lines.where(F.char_length("key") >= min_chars).select(
-        "doc_id", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("second"), "key").alias("h2")
-    )
+    judged = texts.where("doc_id is not null")
+    lines = write_out(judged.mapInArrow(_hashes(min_chars), "doc_id bigint, pos int, h1 bigint, h2 bigint"), "lines")
     frequent = (
         lines.groupBy("h1", "h2", "doc_id")
         .agg(F.lit(1).alias("one"))
@@ -54,12 +97,5 @@ def drop_frequent_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5)
         .groupBy("doc_id")
         .agg(F.collect_set("pos").alias("gone"))
     )
-    parts = texts.join(dropped, "doc_id", "left").withColumn("lines", _lines(F.col("text")))
-    places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
-    kept = F.when(F.col("gone").isNull(), F.col("lines")).otherwise(F.transform(places, lambda i: F.get("lines", i)))
-    return parts.withColumn("kept", kept).select(
-        "doc_id",
-        F.array_join("kept", "\n").alias("text"),
-        F.size("lines").cast("bigint").alias("n_lines"),
-        (F.size("lines") - F.size("kept")).cast("bigint").alias("n_dropped"),
-    )
+    joined = texts.join(dropped, "doc_id", "left").select("doc_id", "text", "gone")
+    return joined.mapInArrow(_reassemble, "doc_id bigint, text string, n_lines bigint, n_dropped bigint")

@@ -40,8 +40,18 @@ FROM d LEFT JOIN (SELECT t.doc_id, count(x.p) AS n_removed, string_agg(t.word, '
 FROM t LEFT JOIN x ON x.doc_id = t.doc_id AND x.p = t.p GROUP BY t.doc_id) s USING (doc_id)
 """
 
+_OP7 = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (SELECT vec_id, vec_id AS c FROM embeddings UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.vec_id)
+SELECT e.vec_id, (SELECT count(*) FROM l WHERE l.a = e.vec_id)::BIGINT AS n_links, min(r.c) AS component_id, min(r.c) = e.vec_id AS kept
+FROM embeddings e JOIN r USING (vec_id) GROUP BY e.vec_id
+"""
+
 ORACLE: dict[str, str] = {
     "op1_decontaminate": _OP1,
     "op4_line_dedup": _OP4,
+    "op7_embedding_dedup": _OP7,
     "op8_substring_dedup": _OP8,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twohop.llm import decontaminate, language, lines, packing, quality, range_coder, substring, toxicity
+from twohop.llm import decontaminate, embeddings, language, lines, packing, quality, range_coder, substring, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,10 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), end_id=2)
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"), 0.93)
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring.remove_repeats(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", _sha256("kept").alias("kept_sha256"))
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_range_coder": op3_range_coder,
     "op4_line_dedup": op4_line_dedup,
     "op6_pack": op6_pack,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_language": op9_language,
     "op10_quality": op10_quality,

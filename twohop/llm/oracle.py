@@ -40,6 +40,16 @@ FROM d LEFT JOIN (SELECT t.doc_id, count(x.p) AS n_removed, string_agg(t.word, '
 FROM t LEFT JOIN x ON x.doc_id = t.doc_id AND x.p = t.p GROUP BY t.doc_id) s USING (doc_id)
 """
 
+_OP5 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [w] ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: list_slice(w, i, i + 3))) END AS s FROM d),
+t AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+l AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n
+HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.doc_id)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, (SELECT min(c) FROM r WHERE r.doc_id = s.doc_id) AS component_id FROM s
+"""
+
 _OP7 = """
 WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
@@ -52,6 +62,7 @@ FROM embeddings e JOIN r USING (vec_id) GROUP BY e.vec_id
 ORACLE: dict[str, str] = {
     "op1_decontaminate": _OP1,
     "op4_line_dedup": _OP4,
+    "op5_jaccard_join": _OP5,
     "op7_embedding_dedup": _OP7,
     "op8_substring_dedup": _OP8,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twohop.llm import decontaminate, embeddings, language, lines, packing, quality, range_coder, substring, toxicity
+from twohop.llm import decontaminate, embeddings, language, lines, packing, quality, range_coder, shingles, substring, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", _sha256("text").alias("kept_sha256"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingles.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), end_id=2)
 
@@ -97,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_range_coder": op3_range_coder,
     "op4_line_dedup": op4_line_dedup,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_pack": op6_pack,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_substring_dedup": op8_substring_dedup,

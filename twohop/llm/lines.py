@@ -2,7 +2,7 @@
 
 Lines are exploded, normalised and hashed; distinct documents are counted per hash; the lines of frequent
 hashes are dropped; what is left is put together by position. The hashes of long enough lines are written out, so the
-texts are read for them once; the texts are shuffled once, to meet their dropped positions. Counting first makes
+texts are read for them once; so are the frequent ones, so that a hot hash can be split where the two meet; the texts are shuffled once, to meet their dropped positions. Counting first makes
 (hash, document) distinct, which spreads a line that is everywhere over all tasks, then adds up before the
 second shuffle.
 
@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from twohop.llm.tables import texts_of
 from twohop.llm.words import pieces
@@ -74,22 +75,25 @@ def _reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "text": pa.array(texts, pa.string()),
                 "n_lines": pa.array(n_lines, pa.int64()),
                 "n_dropped": pa.array(n_dropped, pa.int64()),
+                "others": piece.column("others"),
             }
         )
 
 
 def drop_frequent_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """``doc_id, text, n_lines, n_dropped`` of every document."""
-    texts = texts_of(docs)
-    judged = texts.where("doc_id is not null")
+    """``doc_id, text, n_lines, n_dropped`` of every document, and its other columns as the struct ``others``."""
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("others")
+    texts = texts_of(docs, others)
+    judged = texts.where("doc_id is not null").select("doc_id", "text")
     lines = write_out(judged.mapInArrow(_hashes(min_chars), "doc_id bigint, pos int, h1 bigint, h2 bigint"), "lines")
-    frequent = (
+    frequent = write_out(
         lines.groupBy("h1", "h2", "doc_id")
         .agg(F.lit(1).alias("one"))
         .groupBy("h1", "h2")
         .agg(F.count("one").alias("n"), F.max("doc_id").alias("keeper"))
         .where(F.col("n") >= min_docs)
-        .select("h1", "h2", "keeper")
+        .select("h1", "h2", "keeper"),
+        "frequent-lines",
     )
     dropped = (
         lines.join(frequent, ["h1", "h2"])
@@ -97,5 +101,7 @@ def drop_frequent_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5)
         .groupBy("doc_id")
         .agg(F.collect_set("pos").alias("gone"))
     )
-    joined = texts.join(dropped, "doc_id", "left").select("doc_id", "text", "gone")
-    return joined.mapInArrow(_reassemble, "doc_id bigint, text string, n_lines bigint, n_dropped bigint")
+    joined = texts.join(dropped, "doc_id", "left").select("doc_id", "text", "gone", "others")
+    long = T.LongType()
+    schema = T.StructType([joined.schema["doc_id"], joined.schema["text"], T.StructField("n_lines", long), T.StructField("n_dropped", long), joined.schema["others"]])
+    return joined.mapInArrow(_reassemble, schema)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def texts_of(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``text`` only, so that no further column, whatever its name, can interfere."""
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def texts_of(docs: DataFrame, *more: Column) -> DataFrame:
+    """``doc_id`` and ``text`` only, so that no further column, whatever its name, can interfere; and what is asked for."""
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 
 def total_bytes(texts: DataFrame) -> int:

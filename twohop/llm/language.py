@@ -125,47 +125,59 @@ def _has_letter(text: str | None) -> bool:
     return text is not None and any(c.isalpha() for c in text)
 
 
+def _judge(samples: tuple[tuple[str, bytes], ...], text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Predicted language and score of each text."""
+    langs, names, parsers = _parsers(samples)
+    known = np.array([*langs, "und"], object)
+    data, bounds = text_buffer(text)
+    found, ends = symbols(data, bounds)
+    found = names[found]
+    sizes = np.diff(ends)
+    number = -(-sizes // RUN)
+    row = np.repeat(np.arange(len(sizes)), number)
+    nth = np.arange(len(row)) - np.repeat(np.cumsum(number) - number, number)
+    start = ends[row] + nth * RUN
+    length = np.minimum(RUN, ends[row + 1] - start)
+    order = np.argsort(-length, kind="stable")
+    row, start, length = row[order], start[order], length[order]
+    active = [n for n in np.searchsorted(-length, -np.arange(RUN), "left").tolist() if n]
+    padded = np.concatenate([found, np.zeros(RUN, found.dtype)])
+    runs = padded[start[None, :] + np.arange(len(active))[:, None]] if len(row) else np.zeros((0, 0), np.int32)
+    best, score = np.full(len(sizes), len(langs)), np.zeros(len(sizes))
+    if parsers:
+        counts = np.stack([np.bincount(row, p.phrases(runs, active), len(sizes)) for p in parsers])
+        best = counts.argmin(axis=0)
+        first, second = counts.min(axis=0), np.sort(counts, axis=0)[min(1, len(langs) - 1)]
+        score = np.where(len(langs) > 1, second / np.maximum(first + second, 1), 1.0)
+    # Letters are nearly always there: look at the characters only where ASCII has none.
+    ascii_letter = ((data | 32) >= 97) & ((data | 32) <= 122)
+    total = np.concatenate([[0], np.cumsum(ascii_letter)])[bounds]
+    for i in np.flatnonzero(np.diff(total) == 0):
+        if not _has_letter(text[int(i)].as_py()):
+            best[i], score[i] = len(langs), 0.0
+    return known[best], score
+
+
 def _predict(samples: tuple[tuple[str, bytes], ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, names, parsers = _parsers(samples)
-        known = np.array([*langs, "und"], object)
         for batch in pieces(batches):
-            text = batch.column("text")
-            data, bounds = text_buffer(text)
-            found, ends = symbols(data, bounds)
-            found = names[found]
-            sizes = np.diff(ends)
-            number = -(-sizes // RUN)
-            row = np.repeat(np.arange(len(sizes)), number)
-            nth = np.arange(len(row)) - np.repeat(np.cumsum(number) - number, number)
-            start = ends[row] + nth * RUN
-            length = np.minimum(RUN, ends[row + 1] - start)
-            order = np.argsort(-length, kind="stable")
-            row, start, length = row[order], start[order], length[order]
-            active = np.searchsorted(-length, -np.arange(RUN), "left").tolist()
-            active = [n for n in active if n]
-            padded = np.concatenate([found, np.zeros(RUN, found.dtype)])
-            runs = padded[start[None, :] + np.arange(len(active))[:, None]] if len(row) else np.zeros((0, 0), np.int32)
-            counts = np.stack([np.bincount(row, p.phrases(runs, active), len(sizes)) for p in parsers]) if parsers else np.zeros((0, len(sizes)))
-            best = np.full(len(sizes), len(langs))
-            score = np.zeros(len(sizes))
-            if parsers:
-                best = counts.argmin(axis=0)
-                first, second = counts.min(axis=0), np.sort(counts, axis=0)[min(1, len(langs) - 1)]
-                score = np.where(len(langs) > 1, second / np.maximum(first + second, 1), 1.0)
-            # Letters are nearly always there: look at the characters only where ASCII has none.
-            ascii_letter = ((data | 32) >= 97) & ((data | 32) <= 122)
-            total = np.concatenate([[0], np.cumsum(ascii_letter)])[bounds]
-            for i in np.flatnonzero(np.diff(total) == 0):
-                if not _has_letter(text[int(i)].as_py()):
-                    best[i], score[i] = len(langs), 0.0
+            lang, score = _judge(samples, batch.column("text"))
             yield pa.RecordBatch.from_pydict(
-                {"doc_id": batch.column("doc_id"), "lang_pred": pa.array(known[best], pa.string()), "score": pa.array(score, pa.float64())}
+                {"doc_id": batch.column("doc_id"), "lang_pred": pa.array(lang, pa.string()), "score": pa.array(score, pa.float64())}
             )
 
     return run
 
 
+def _keep(samples: tuple[tuple[str, bytes], ...]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            lang, _ = _judge(samples, batch.column("text"))
+            yield batch.filter(pa.array(lang != "und"))
+
+    return run
+
+
 def language_samples(labelled: DataFrame) -> tuple[tuple[str, bytes], ...]:
     """Symbols of some texts of each language of ``labelled(doc_id, text, lang)``."""
     texts = labelled.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
@@ -187,3 +199,9 @@ def identify(docs: DataFrame, learn_from: Column) -> DataFrame:
     """``doc_id, lang_pred, score`` of all ``docs(doc_id, text, lang)``; ``learn_from``: rows whose ``lang`` may be used."""
     labelled = docs.where(learn_from).select("doc_id", "text", "lang")
     return texts_of(docs).mapInArrow(_predict(language_samples(labelled)), _RESULT)
+
+
+def keep_identified(docs: DataFrame, learn_from: Column) -> DataFrame:
+    """The rows of ``docs`` whose language can be told, with all their columns."""
+    samples = language_samples(docs.where(learn_from).select("doc_id", "text", "lang"))
+    return docs.mapInArrow(_keep(samples), docs.schema)

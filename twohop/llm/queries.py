@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from twohop.llm import decontaminate, embeddings, language, lines, packing, quality, range_coder, shingles, substring, toxicity
 
 
+#: Names of the public tokenizer files.
+WORD_TOKENS, BYTE_TOKENS = "word_bpe_49k.json", "byte_bpe_50k.json"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -34,7 +38,7 @@ def _remainder(n: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -57,7 +61,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_range_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return range_coder.read_ids(range_coder.write_ids(docs, _tokenizer("word_bpe_49k.json"), end_id=1))
+    return range_coder.read_ids(range_coder.write_ids(docs, tokenizer_path(WORD_TOKENS), end_id=1))
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +74,7 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), end_id=2)
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENS), end_id=2)
 
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,8 +86,13 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", _sha256("kept").alias("kept_sha256"))
 
 
+def learnt_languages() -> Column:
+    """The documents whose ``lang`` is learnt from."""
+    return _remainder(4) != 2
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = language.identify(_table(spark, sf_dir, "documents"), _remainder(4) != 2)
+    found = language.identify(_table(spark, sf_dir, "documents"), learnt_languages())
     return found.select("doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", "score")
 
 

@@ -28,10 +28,10 @@ from twohop.llm.tables import texts_of
 from twohop.llm.words import _CODES, _FOLD, ALNUM, Words, mix, pieces
 
 CATEGORIES = ("low_quality", "toxic", "severe")
-SAMPLE_TOXIC = 6_000
-SAMPLE_CLEAN = 12_000
-TERMS = 400
-FOLDS = 5
+SAMPLE_TOXIC = 4_000
+SAMPLE_CLEAN = 8_000
+TERMS = 128
+FOLDS = 4
 RIDGE = 1.0
 PREFIXES = (4, 5, 6)
 
@@ -78,17 +78,17 @@ def counts_of(words: Words, terms: np.ndarray) -> np.ndarray:
     return found
 
 
-def _features(words: Words, terms: np.ndarray) -> np.ndarray:
-    """Presence, and share of the words, of each term, and a constant."""
+def _features(words: Words, terms: np.ndarray, odds: np.ndarray) -> np.ndarray:
+    """Presence of each term, the mean log odds of the words, and a constant."""
     counts = counts_of(words, terms)
-    share = 10 * counts / np.maximum(words.counts, 1)[:, None]
-    return np.hstack([(counts > 0).astype(np.float64), np.minimum(share, 1), np.ones((words.n_rows, 1))])
+    heat = 10 * (counts @ odds) / np.maximum(words.counts, 1)
+    return np.hstack([counts > 0, np.minimum(heat, 3)[:, None], np.ones((words.n_rows, 1))]).astype(np.float64)
 
 
-def _sample_features(terms: np.ndarray):
+def _sample_features(terms: np.ndarray, odds: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
-            found = _features(Words(piece.column("text"), ALNUM, fold=True), terms).astype(np.float32)
+            found = _features(Words(piece.column("text"), ALNUM, fold=True), terms, odds).astype(np.float32)
             cells = pa.array([x.tobytes() for x in found], pa.binary())
             names = [x for x in piece.schema.names if x != "text"]
             yield pa.RecordBatch.from_arrays([*[piece.column(x) for x in names], cells], names=[*names, "x"])
@@ -96,7 +96,7 @@ def _sample_features(terms: np.ndarray):
     return run
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 12) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 10) -> np.ndarray:
     """Ridge logistic regression by Newton's steps."""
     weights = np.zeros(x.shape[1])
     for _ in range(rounds):
@@ -134,10 +134,10 @@ class Chain:
         return x[:, -len(self.weights) :]
 
 
-def _predict(chain: Chain, terms: np.ndarray):
+def _predict(chain: Chain, terms: np.ndarray, odds: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
-            found = chain.predict(_features(Words(piece.column("text"), ALNUM, fold=True), terms))
+            found = chain.predict(_features(Words(piece.column("text"), ALNUM, fold=True), terms, odds))
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *[pa.array(p) for p in found.T]], names=["doc_id", *CATEGORIES])
 
     return run
@@ -182,18 +182,18 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column) -> Da
     toxic = _telling(counted, "toxic", n[1], n[0], TERMS)
     low = _telling(counted, "low_quality", n[2], n[0], TERMS // 4)
     terms = np.unique(np.array([t for t, _ in toxic + low], np.int64).view(np.uint64))
+    by_term = dict(toxic)
+    odds = np.array([by_term.get(t, 0.0) for t in terms.view(np.int64).tolist()])
     seen = (
         chosen.select("doc_id", "toxic", "low_quality", "text")
-        .mapInArrow(_sample_features(terms), schema + ", x binary")
+        .mapInArrow(_sample_features(terms, odds), schema + ", x binary")
         .sort("doc_id", "x")
         .collect()
     )
     x = np.stack([np.frombuffer(r["x"], np.float32) for r in seen]).astype(np.float64)
     is_toxic, is_low = (np.array([r[c] for r in seen], float) for c in ("toxic", "low_quality"))
-    odds = dict(toxic)
-    weight = np.array([odds.get(t, 0.0) for t in terms.view(np.int64).tolist()])
-    share = x[:, len(terms) : 2 * len(terms)] @ weight
-    severe = (is_toxic > 0) & (share > np.median(share[is_toxic > 0]))
+    heat = x[:, -2]
+    severe = (is_toxic > 0) & (heat > np.median(heat[is_toxic > 0]))
     folds = np.arange(len(x)) % FOLDS
     chain = Chain(x, np.stack([is_low, is_toxic, severe.astype(float)], axis=1), folds)
-    return texts.mapInArrow(_predict(chain, terms), "doc_id bigint, " + ", ".join(f"{c} double" for c in CATEGORIES))
+    return texts.mapInArrow(_predict(chain, terms, odds), "doc_id bigint, " + ", ".join(f"{c} double" for c in CATEGORIES))

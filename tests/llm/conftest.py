@@ -1,0 +1,44 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from invented import prose, word
+
+#: Names that the operators use inside, as further columns of the input.
+CLASHES = ("part", "gone", "n", "row", "others", "start", "entry", "nth", "salt", "score", "keys")
+SCHEMA = "doc_id bigint, text string, lang string, " + ", ".join(f"{c} string" for c in CLASHES)
+
+@pytest.fixture(scope="session")
+def docs_of(spark):
+    """A table of documents from (doc_id, text) or (doc_id, text, lang) rows, with clashing further columns."""
+
+    def make(rows):
+        full = [(*r, *[None] * (3 - len(r)), *["x"] * len(CLASHES)) for r in rows]
+        return spark.createDataFrame(full, SCHEMA)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def corpus():
+    """Exact and near copies, shared passages and lines, odd texts, a very long one; ids in no order."""
+    rng = random.Random(5)
+    passage = prose(rng, 60)
+    line = prose(rng, 12)
+    texts = [None, "", " \t ", "one", "Two words", "\n\n", "é", "  lead\vand\ftail \r\n", "a" * 5000]
+    texts += [prose(rng, rng.randint(1, 120)) for _ in range(25)]
+    texts += [prose(rng, 30) + " " + passage + " " + prose(rng, rng.randint(0, 40)) for _ in range(6)]
+    texts += [prose(rng, 8) + "\n  " + line.upper() + "\t\n" + prose(rng, 9) for _ in range(7)]
+    base = prose(rng, 90).split(" ")
+    for _ in range(12):
+        copy = list(base)
+        for _ in range(rng.randint(0, 3)):
+            copy[rng.randrange(len(copy))] = word(rng)
+        texts.append(" ".join(copy))
+    texts += [texts[12]] * 3 + [" ".join(base)] * 2
+    texts.append(prose(rng, 6000))
+    texts.append(" ".join(["again"] * 300))
+    ids = list(range(100, 100 + len(texts)))
+    rng.shuffle(ids)
+    return list(zip(ids, texts, strict=True))

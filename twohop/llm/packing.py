@@ -3,8 +3,8 @@
 Texts become token ids with an end id and are cut into pieces of at most ``size`` ids. What matters of a piece is its
 length, so the packing is planned on the histogram of lengths, at most ``size`` numbers, and carried out by
 Spark: from the longest length down, the gap that is left is looked up among the sums of one, two and three available
-lengths; a combination that fills it exactly is taken as often as the counts allow. What finds no such
-partners is packed by best fit, longest first.
+lengths; a combination that fills it exactly is taken as often as the counts allow. A gap without such a
+combination gets the longest length that fits (best fit), and what is then left of it is looked up again.
 
 A step of the plan uses up at least one length, so the plan has a few thousand rows whatever the number of
 documents; it goes to all tasks. The n-th piece of a length takes the n-th place planned for the
@@ -18,6 +18,7 @@ are packed as documents of their own.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -95,44 +96,41 @@ def plan(counts: dict[int, int], size: int) -> list[tuple[tuple[int, ...], int]]
     for length, n in counts.items():
         left[length] += n
     made: list[tuple[tuple[int, ...], int]] = []
-    residual = np.zeros(size + 1, np.int64)
     for long in range(size, 0, -1):
-        if left[long] and long == size:
-            made.append(((long,), int(left[long])))
-            left[long] = 0
-        if not left[long]:
-            continue
-        for rest in _complements(left, size - long, long):
-            lengths = (long, *rest)
-            times = min(left[x] // lengths.count(x) for x in lengths)
-            if times:
-                made.append((lengths, int(times)))
-                for x in lengths:
-                    left[x] -= times
-            if not left[long]:
-                break
-        residual[long] += left[long]
-        left[long] = 0
-    return made + _best_fit(residual, size)
-
-
-def _best_fit(left: np.ndarray, size: int) -> list[tuple[tuple[int, ...], int]]:
-    open_at: dict[int, list[tuple[tuple[int, ...], int]]] = {}
-    for length in range(size, 0, -1):
-        n = int(left[length])
-        for gap in range(length, size):
-            while n and open_at.get(gap):
-                lengths, times = open_at[gap].pop()
-                used = min(n, times)
-                if times > used:
-                    open_at[gap].append((lengths, times - used))
-                open_at.setdefault(gap - length, []).append(((*lengths, length), used))
-                n -= used
-        each = size // length
-        for per, times in ((each, n // each), (n % each, 1)):
-            if per and times:
-                open_at.setdefault(size - per * length, []).append(((length,) * per, times))
-    return [x for found in open_at.values() for x in found]
+        while left[long]:
+            lengths = _fill(left, long, size - long)
+            times = min(left[x] // n for x, n in Counter(lengths).items())
+            made.append((tuple(lengths), int(times)))
+            for x in lengths:
+                left[x] -= times
+    return made
+
+
+def _fill(left: np.ndarray, long: int, gap: int) -> list[int]:
+    """A sequence that begins with ``long``: exact complements of the gap if there are any, else the longest length that
+    fits and complements of what is then left. ``left`` is as before afterwards."""
+    lengths = [long]
+    left[long] -= 1
+    most = long
+    while gap:
+        most = min(most, gap)
+        while most and not left[most]:
+            most -= 1
+        if not most:
+            break
+        rest: tuple[int, ...] | None = None
+        if gap <= 3 * most:
+            found = (x for x in _complements(left, gap, most) if all(left[y] >= x.count(y) for y in x))
+            rest = next(found, None)
+        if rest is None:
+            rest = (most,) * max(min(gap // most, int(left[most])) - 3, 1)
+        lengths += rest
+        for x in rest:
+            left[x] -= 1
+        gap -= sum(rest)
+    for x in lengths:
+        left[x] += 1
+    return lengths
 
 
 def _places(made: list[tuple[tuple[int, ...], int]]) -> dict[int, np.ndarray]:

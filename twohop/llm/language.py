@@ -86,18 +86,18 @@ def _suffix_automaton(text: list[int]) -> list[dict[int, int]]:
 
 
 class Parser:
-    """A language's automaton as a table: next row of the table * 2, + 1 where a phrase ends."""
+    """A language's automaton as a table: next row of the table * 2, + 1 where a phrase begins."""
 
     def __init__(self, sample: bytes, names: np.ndarray, width: int):
         moves = _suffix_automaton(names[np.frombuffer(sample, np.uint8)].tolist())
-        start = np.ones(width, np.int64)  # a symbol that the sample lacks is a phrase of its own
+        start = np.ones(width, np.int64)  # a symbol that the sample lacks is a phrase of its own and leads to the start
         for symbol, target in moves[0].items():
             start[symbol] = target * width * 2 + 1
         table = np.tile(start, len(moves)).astype(np.int32 if len(moves) * width < 1 << 30 else np.int64)
         states = np.repeat(np.arange(len(moves)), [len(m) for m in moves])
         on = np.array([s for m in moves for s in m], np.int64)
         to = np.array([t for m in moves for t in m.values()], np.int64)
-        table[states * width + on] = to * width * 2
+        table[states * width + on] = to * width * 2 + (states == 0)
         self.table = table
 
     def phrases(self, runs: np.ndarray, active: list[int]) -> np.ndarray:
@@ -108,7 +108,7 @@ class Parser:
             move = self.table[state[:n] + runs[t, :n]]
             count[:n] += move & 1
             state[:n] = move >> 1
-        return count + (state > 0)
+        return count
 
 
 @lru_cache(maxsize=2)

@@ -79,10 +79,10 @@ def counts_of(words: Words, terms: np.ndarray) -> np.ndarray:
 
 
 def _features(words: Words, terms: np.ndarray, odds: np.ndarray) -> np.ndarray:
-    """Presence of each term, the mean log odds of the words, and a constant."""
+    """Presence of each term, how strongly the average word tells for toxicity, and a constant."""
     counts = counts_of(words, terms)
-    heat = 10 * (counts @ odds) / np.maximum(words.counts, 1)
-    return np.hstack([counts > 0, np.minimum(heat, 3)[:, None], np.ones((words.n_rows, 1))]).astype(np.float64)
+    heat = np.log1p(10 * (counts @ odds) / np.maximum(words.counts, 1))
+    return np.hstack([counts > 0, heat[:, None], np.ones((words.n_rows, 1))]).astype(np.float64)
 
 
 def _sample_features(terms: np.ndarray, odds: np.ndarray):

@@ -1,7 +1,7 @@
 """Graphs and text lines derived from the given tables.
 
-``co_returned``: parts returned in the same order, both directions (undirected, with triangles, no
-loops); the bag form counts how often two parts meet. ``supply``: customer to supplier of every ordered
+``co_returned``: parts that share an order and a return flag, both directions (undirected, with triangles, no
+loops), over all ordered lines; the bag form counts how often two parts meet. ``supply``: customer to supplier of every ordered
 line, the ids read as one numbering (directed, with duplicates and loops).
 """
 
@@ -23,9 +23,11 @@ def lineitem_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def co_returned_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    returned = _table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
-    # The order is the shared neighbour of its parts, so a very long order is sliced like any hub.
-    met = wedges(edge_table(returned, "l_orderkey", "l_partkey"), "ne")
+    # Order and flag as one number, different for different pairs: a flag is one character, below 2^21.
+    together = F.shiftleft("l_orderkey", 21) + F.ascii("l_returnflag")
+    lines = _table(spark, sf_dir, "lineitem").withColumn("together", together)
+    # It is the shared neighbour of its parts, so a very long order is sliced like any hub.
+    met = wedges(edge_table(lines, "together", "l_partkey"), "ne")
     return met.select(F.col("u").alias("src"), F.col("v").alias("dst"), "copies")
 
 
@@ -43,7 +45,7 @@ def co_returned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``co_returned`` as an edge-list text: two comment lines, then an edge and a blank per line."""
     edges = co_returned(spark, sf_dir)
     lines = edges.select(F.concat(F.col("src").cast("string"), F.lit(" "), F.col("dst").cast("string"), F.lit(" ")).alias("value"))
-    head = spark.createDataFrame([("# parts returned in one order",), ("# both directions",)], "value string")
+    head = spark.createDataFrame([("# parts of one order and flag",), ("# both directions",)], "value string")
     return head.union(lines)
 
 

@@ -6,7 +6,7 @@ TOP = 100
 
 _BAG = """e AS (
   SELECT a.l_partkey AS src, b.l_partkey AS dst FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey
-  WHERE a.l_returnflag = 'R' AND b.l_returnflag = 'R' AND a.l_partkey <> b.l_partkey)"""
+  AND a.l_returnflag = b.l_returnflag WHERE a.l_partkey <> b.l_partkey)"""
 _SIMPLE = _BAG.replace("SELECT a.l", "SELECT DISTINCT a.l")
 _SUPPLY = """e AS (
   SELECT o_custkey AS src, l_suppkey AS dst FROM lineitem JOIN orders ON l_orderkey = o_orderkey
@@ -114,9 +114,18 @@ ORACLE: dict[str, str] = {
     "jaccard": _with(_SIMPLE, *_JACCARD_PARTS) + "SELECT u, v, score FROM jc",
     "jaccard_as_is": _with(_SUPPLY, *_JACCARD_PARTS) + "SELECT u, v, score FROM jc",
     "adamic_adar": _with(_SIMPLE, _DEGREE, _WEDGE, _AA) + "SELECT u, v, score FROM aa",
-    "link_scores": _with(_SIMPLE, *_JACCARD_PARTS, _AA)
-    + """SELECT cn.u, cn.v, cn.cn, jc.score AS jc, aa.score AS aa FROM cn
-        JOIN aa ON aa.u = cn.u AND aa.v = cn.v LEFT JOIN jc ON jc.u = cn.u AND jc.v = cn.v""",
+    "link_scores": _with(
+        _SIMPLE.replace("e AS (", "e AS MATERIALIZED ("),
+        _DEGREE.replace("deg AS (", "deg AS MATERIALIZED ("),
+        f"sums AS MATERIALIZED (SELECT a.dst AS u, b.dst AS v, count(*) AS cn, {_AA_SUM} AS s "
+        "FROM e a JOIN e b ON a.src = b.src AND a.dst < b.dst JOIN deg ON deg.node = a.src GROUP BY 1, 2)",
+        "open_pairs AS MATERIALIZED (SELECT * FROM sums WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.src = sums.u AND e.dst = sums.v))",
+        # The degree of v counts unless v -> u is an edge; a node without edges of its own has none.
+        """totals AS (SELECT p.*, CASE WHEN r.src IS NULL THEN dv.degree END AS second, du.degree AS first FROM open_pairs p
+          LEFT JOIN deg du ON du.node = p.u LEFT JOIN deg dv ON dv.node = p.v LEFT JOIN e r ON r.src = p.v AND r.dst = p.u)""",
+        """whole AS (SELECT *, CASE WHEN first IS NOT NULL OR second IS NOT NULL THEN coalesce(first, 0) + coalesce(second, 0) END AS total FROM totals)""",
+    )
+    + f"SELECT u, v, cn, {_JC_OF.replace('CASE WHEN', 'CASE WHEN total IS NULL THEN NULL WHEN')} AS jc, {_AA_OF} AS aa FROM whole",
     "symmetrize": _with(_SUPPLY) + "SELECT src, dst FROM e UNION SELECT dst, src FROM e",
     "simple_graph": _with(_SUPPLY) + "SELECT DISTINCT src, dst FROM e WHERE src <> dst",
     "contract_report": _with(_SUPPLY)

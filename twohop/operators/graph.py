@@ -28,24 +28,28 @@ def copies_of(edges: DataFrame) -> Column:
     return F.col("copies") if "copies" in edges.columns else F.lit(1).cast("bigint")
 
 
+def whole_edges(edges: DataFrame) -> DataFrame:
+    """A row lacking an id is no edge, wherever edges are read."""
+    return edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+
+
 def edge_bag(edges: DataFrame) -> DataFrame:
     """Equal rows folded into one: ``(src, dst, copies)``. Folding starts before the shuffle.
 
-    A row lacking an id is no edge. Saying so here gives every use of the bag the same filter, and so
-    the same shuffle to share.
+    Every use of the bag has the same filter on ids, and so the same shuffle to share.
     """
-    whole = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
-    return whole.groupBy("src", "dst").agg(F.sum(copies_of(edges)).alias("copies"))
+    return whole_edges(edges).groupBy("src", "dst").agg(F.sum(copies_of(edges)).alias("copies"))
 
 
 def degrees(edges: DataFrame) -> DataFrame:
     """Edge rows per source as ``(node, degree)``."""
-    return edges.groupBy(F.col("src").alias("node")).agg(F.sum(copies_of(edges)).alias("degree"))
+    return whole_edges(edges).groupBy(F.col("src").alias("node")).agg(F.sum(copies_of(edges)).alias("degree"))
 
 
 def symmetrize(edges: DataFrame) -> DataFrame:
     """The distinct edges together with their reverses."""
-    return edges.select("src", "dst").union(edges.select("dst", "src")).distinct()
+    whole = whole_edges(edges)
+    return whole.select("src", "dst").union(whole.select("dst", "src")).distinct()
 
 
 def simple_graph(edges: DataFrame) -> DataFrame:

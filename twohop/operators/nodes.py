@@ -22,9 +22,9 @@ def attach(rows: DataFrame, key: str, nodes: DataFrame, names: dict[str, str]) -
     whose two inputs both come straight from a shuffle. ``nodes`` is an aggregate already partitioned by
     node and would get none, so its key is recomputed (two negations the optimizer does not cancel):
     that costs one shuffle of the node table, small beside the rows, and lets the hot key be split.
-    The fresh key is declared never null, as nodes are; else a filter on it would reach the scan below
+    A node without id is left out before the key is made, so it cannot pass for another. The fresh key is declared never null; else a filter on it would reach the scan below
     ``nodes`` and keep it from sharing a shuffle with the same scan elsewhere.
     """
     fresh_key = F.coalesce(F.bitwise_not(F.bitwise_not(F.col("node"))), F.lit(0))
-    side = nodes.select(fresh_key.alias("_node"), *[F.col(old).alias(new) for old, new in names.items()])
+    side = nodes.where(F.col("node").isNotNull()).select(fresh_key.alias("_node"), *[F.col(old).alias(new) for old, new in names.items()])
     return rows.join(side, F.col(key) == F.col("_node"), "left").drop("_node")

@@ -25,24 +25,32 @@ def drop_comments(lines: DataFrame, comment: str = "anywhere") -> DataFrame:
     raise ValueError(f"comment must be 'anywhere' or 'prefix', not {comment!r}")
 
 
-def _token(index: int) -> Column:
-    # At most three parts: everything after the second id stays unsplit and is ignored.
-    return F.get(F.split(F.btrim("value", F.lit(BLANKS)), SEPARATOR, 3), F.lit(index))
+def _once(*columns: Column) -> Column:
+    """The columns behind a generator of one row: a filter on them does not cross it, so each is computed once."""
+    return F.inline(F.array(F.struct(*columns)))
 
 
 def _with_ids(lines: DataFrame) -> DataFrame:
-    src, dst = F.col("src_token"), F.col("dst_token")
+    # At most three parts: everything after the second id stays unsplit and is ignored.
+    parts = F.split(F.btrim("value", F.lit(BLANKS)), SEPARATOR, 3)
+    tokens = lines.select("value", _once(parts.alias("parts")))
+    first, second = F.get("parts", F.lit(0)), F.get("parts", F.lit(1))
+    ids = tokens.select(
+        "value",
+        _once(
+            first.try_cast("bigint").alias("src"),
+            second.try_cast("bigint").alias("dst"),
+            (first == "").alias("blank"),
+            second.isNull().alias("single"),
+        ),
+    )
     reason = (
-        F.when(src == "", "blank line")
-        .when(dst.isNull(), "one id only")
+        F.when(F.col("blank"), "blank line")
+        .when(F.col("single"), "one id only")
         .when(F.col("src").isNull(), "source id is not an integer")
         .when(F.col("dst").isNull(), "target id is not an integer")
     )
-    return (
-        lines.select("value", _token(0).alias("src_token"), _token(1).alias("dst_token"))
-        .select("*", src.try_cast("bigint").alias("src"), dst.try_cast("bigint").alias("dst"))
-        .select("value", "src", "dst", reason.alias("reason"))
-    )
+    return ids.select("value", "src", "dst", reason.alias("reason"))
 
 
 def parse_edges(lines: DataFrame, comment: str = "anywhere", mode: str = "failfast") -> DataFrame:

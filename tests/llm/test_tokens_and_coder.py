@@ -1,0 +1,109 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from invented import prose
+from tokenizers import Tokenizer
+
+from twohop.llm import range_coder, tokens
+from twohop.llm.queries import BYTE_TOKENS, WORD_TOKENS
+from twohop.llm.range_coder import decode_ids, encode_ids, read_ids, write_ids
+from twohop.llm.tokens import Encoder
+
+texts = st.lists(st.one_of(st.none(), st.text(max_size=40), st.text(alphabet="aZ é'sÀßrell \t\n.,!09·ª́İ<|endoftext|>", max_size=60)), max_size=6)
+
+
+@pytest.fixture(scope="module", params=[WORD_TOKENS, BYTE_TOKENS])
+def both(request):
+    path = public_tokenizers.path(request.param)
+    return Encoder(path), Tokenizer.from_file(path)
+
+
+@settings(max_examples=300, deadline=None)
+@given(texts)
+def test_same_ids_as_the_tokenizer(both, rows):
+    ours, theirs = both
+    ids, counts = ours.encode(rows)
+    want = [theirs.encode(t or "", add_special_tokens=False).ids for t in rows]
+    assert counts.tolist() == [len(x) for x in want]
+    assert ids.tolist() == [i for x in want for i in x]
+
+
+def test_cache_is_emptied(both, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHED_CHARS", 10)
+    ours, theirs = both
+    for text in ("some longer text here", "another text", "some longer text here"):
+        assert ours.encode([text])[0].tolist() == theirs.encode(text, add_special_tokens=False).ids
+
+
+def test_short_cut_is_taken(both):
+    assert len(both[0]._words("Plain words, été.")) > 3
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 400), st.integers(1, 2**32 - 1), st.integers(0, 10**6), st.sampled_from([1, 7, 64, 2048]))
+def test_round_trip(n, most, seed, block):
+    rng = np.random.default_rng(seed)
+    some = rng.integers(0, most, 5, dtype=np.uint64)
+    ids = np.where(rng.random(n) < 0.7, rng.choice(some, n), rng.integers(0, most, n, dtype=np.uint64)).astype(np.uint32)
+    assert (decode_ids(encode_ids(ids, block)) == ids).all()
+
+
+def test_rebuilt_models_and_many_lanes(monkeypatch):
+    monkeypatch.setattr(range_coder, "LANES", 3)
+    rng = np.random.default_rng(2)
+    ids = (rng.zipf(1.3, 15_000) % 40_000).astype(np.uint32)
+    coded = encode_ids(ids)
+    assert (decode_ids(coded) == ids).all()
+    assert len(coded) < 0.9 * 2 * len(ids)
+
+
+def test_predictable_ids_are_small():
+    assert len(encode_ids(np.tile(np.arange(50, dtype=np.uint32), 400))) < 2_000
+
+
+def test_damage_is_seen():
+    coded = bytearray(encode_ids(np.arange(3000, dtype=np.uint32)))
+    coded[-500] ^= 1
+    with pytest.raises(ValueError):
+        decode_ids(bytes(coded))
+    with pytest.raises(ValueError):
+        decode_ids(b"XXXX" + bytes(coded[4:]))
+
+
+def _crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_query_against_brute_force(docs_of, corpus):
+    path = public_tokenizers.path(WORD_TOKENS)
+    theirs = Tokenizer.from_file(path)
+    docs = [*corpus, corpus[4], (None, "no id")]
+    chunks = write_ids(docs_of(docs).repartition(5), path, 1)
+    found = read_ids(chunks, with_ids=True).collect()
+    order = sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0, d[1] is not None, d[1] or ""))
+    want, start = [], 0
+    for doc_id, text in order:
+        ids = [*theirs.encode(text or "", add_special_tokens=False).ids, 1]
+        want.append((doc_id, start, len(ids), _crc(ids)))
+        start += len(ids)
+    assert sorted([(r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in found], key=lambda r: r[1]) == want
+    assert all(zlib.crc32(r["ids"]) == r["ids_crc32"] for r in found)
+
+
+def test_chunks_are_cut(docs_of, corpus, monkeypatch):
+    monkeypatch.setattr(range_coder, "LANES", 1)
+    path = public_tokenizers.path(WORD_TOKENS)
+    found = read_ids(write_ids(docs_of(corpus), path, 1)).orderBy("start").collect()
+    assert [r["doc_id"] for r in found] == sorted(d for d, _ in corpus)
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(found, found[1:], strict=False))
+
+
+def test_nothing(docs_of):
+    path = public_tokenizers.path(WORD_TOKENS)
+    assert read_ids(write_ids(docs_of([]), path, 1)).collect() == []

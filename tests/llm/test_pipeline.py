@@ -1,0 +1,86 @@
+from __future__ import annotations
+
+import os
+from collections import defaultdict
+
+import public_tokenizers
+import pytest
+from test_decontaminate import _brute as brute_hits
+from test_lines import _brute as brute_lines
+from test_packing import _check as check_packing
+from test_shingles import _brute as brute_groups
+
+import __spark_entry__
+import corpus_pipeline
+from twohop.llm.queries import BYTE_TOKENS
+
+COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+@pytest.fixture()
+def folder(spark, tmp_path, corpus):
+    # Rows that no language can be told of, benchmark passages, and everything else of the corpus.
+    long = next(t for _, t in corpus if t and len(t.split()) > 5000)
+    passage = " ".join(long.split()[40:60])
+    rows = [*corpus, (900, "see " + passage + " there"), (901, "1 2 3"), (902, None)]
+    docs = [(i, t, "xx", "s", len(t or "")) for i, t in rows]
+    spark.createDataFrame(docs, COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, passage)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return str(tmp_path), rows, [(1, passage)]
+
+
+def _stages(rows, items):
+    """What each stage keeps, by brute force."""
+    rows = [(i, t) for i, t in rows if t and any(c.isalpha() for c in t)]
+    yield rows
+    rows = [(r[0], r[1]) for r in brute_lines(rows, 40, 5)]
+    yield rows
+    group = defaultdict(list)
+    for doc_id, _, first in brute_groups(rows):
+        group[first].append(doc_id)
+    rows = [r for r in rows if r[0] in group]
+    yield rows
+    hit = {r[0] for r in brute_hits(rows, items, 10) if r[2]}
+    rows = [r for r in rows if r[0] not in hit]
+    yield rows
+
+
+def test_stages_against_brute_force(spark, folder):
+    sf_dir, rows, items = folder
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns = docs.columns
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "jaccard_join", "decontaminate", "pack"]
+    sizes = [docs.count()]
+    for n, want in enumerate(_stages(rows, items)):
+        docs = corpus_pipeline.STAGES[n][1](spark, docs, sf_dir)
+        docs.write.parquet(f"{sf_dir}/stage{n}")
+        docs = spark.read.parquet(f"{sf_dir}/stage{n}")
+        assert docs.columns == columns
+        found = docs.collect()
+        assert sorted((r["doc_id"], r["text"]) for r in found) == sorted(want)
+        assert all(r["n_chars"] == len(r["text"]) and r["lang"] == "xx" for r in found)
+        sizes.append(len(found))
+    assert sizes[0] > sizes[1] == sizes[2] > sizes[3] > sizes[4]
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
+    check_packing([(r["doc_id"], r["text"]) for r in docs.collect()], packed, 1024)
+
+
+def test_run(spark, folder):
+    sf_dir, rows, items = folder
+    *_, want = _stages(rows, items)
+    check_packing(want, __spark_entry__.queries()["pipeline"](spark, sf_dir).collect(), 1024)
+
+
+def test_stages_on_nothing(spark, tmp_path):
+    docs = spark.createDataFrame([], COLUMNS)
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.collect() == []
+
+
+def test_queries_are_registered():
+    names = list(__spark_entry__.queries())
+    assert [sum(x.startswith(f"op{n}_") for x in names) for n in range(1, 11)] == [1] * 10
+    assert corpus_pipeline.ORACLE_SQL is None
+    assert os.path.exists(public_tokenizers.path(BYTE_TOKENS))

@@ -57,6 +57,7 @@ def test_chain_of_near_copies(docs_of, monkeypatch):
     import random
 
     monkeypatch.setattr(shingles, "RARE", 3)
+    monkeypatch.setattr(shingles, "BLOCK_TOKENS", 800)
     rng = random.Random(3)
     words = [word(rng) for _ in range(120)]
     chain = []
@@ -71,6 +72,7 @@ def test_chain_of_near_copies(docs_of, monkeypatch):
 def test_small_groups_and_buckets(docs_of, corpus, monkeypatch):
     monkeypatch.setattr(shingles, "GROUP_BYTES", 6_000)
     monkeypatch.setattr(shingles, "BUCKET_TOKENS", 500)
+    monkeypatch.setattr(shingles, "BLOCK_TOKENS", 300)
     assert _run(docs_of, corpus) == _brute(corpus)
 
 
@@ -97,3 +99,22 @@ def test_similar_sets_share_an_entry(n, data):
         alone = ~np.isin(own, both) & ~frequent & (own % np.uint64(2) == 0)
         found.append(set(signatures(int(alone.sum()), own[~frequent & ~alone], own[frequent]).tolist()))
     assert found[0] & found[1]
+
+
+def test_group_of_which_few_link(docs_of, monkeypatch):
+    """Copies with many changes each: all share entries, few are similar enough, and not to the first."""
+    import random
+
+    monkeypatch.setattr(shingles, "RARE", 4)
+    monkeypatch.setattr(shingles, "BLOCK_TOKENS", 700)
+    rng = random.Random(9)
+    base = prose(rng, 100).split(" ")
+    docs = []
+    for i in range(40):
+        copy = list(base)
+        for _ in range(rng.choice([1, 3, 5, 7])):
+            copy[rng.randrange(100)] = word(rng)
+        docs.append((i, " ".join(copy)))
+    found = _run(docs_of, docs)
+    assert found == _brute(docs)
+    assert 1 < len({r[2] for r in found}) < 40

@@ -10,10 +10,10 @@ A document is its set of distinct runs of ``SHINGLE`` words, the tokens. Two doc
    pairs within a subclass; a subclass with one shared token is missed, so the prefix is extended by one token per subclass.
    Unique tokens have no partner and are not indexed. Prefixes of frequent tokens belong to a band of sizes, and a document
    is indexed for its own band and the next, so partners always meet under the same number of subclasses.
-3. Candidates share an index entry. Of every entry the first document is compared with the others; links join components; entries that
-   still hold several components get other first documents, and finally all pairs of different components. So a group of near copies costs
-   about as many comparisons as it has members, and yet no link between components is lost.
-4. Candidates are verified on whole texts.
+3. Candidates share an index entry. Of every entry the first document is compared with the others, which joins most groups of copies at
+   the cost of a comparison per member. Entries that still hold several components are compared in blocks: documents of different
+   components, two blocks at a time as matrices, so no link is lost and no pair is listed.
+4. Comparisons are made on whole texts.
 
 The texts are shuffled once to be counted and indexed (both uses share the exchange); only documents with an index entry go on.
 
@@ -44,7 +44,7 @@ PERCENT = 85
 RARE = 32
 GROUP_BYTES = 8 << 20
 BUCKET_TOKENS = 2_000_000
-STAR_ROUNDS = 3
+BLOCK_TOKENS = 150_000
 _SINGLE = 12  # sets so small are indexed by single tokens of all classes
 
 
@@ -246,61 +246,110 @@ def _verify(size: int):
     return run
 
 
-class _Join:
-    """Compares candidates round by round; what was compared and what links stays in written tables."""
-
-    def __init__(self, active: DataFrame, size: int):
-        self.active, self.size = active, size
-        self.entries = active.select("doc_id", "n", F.explode("entries").alias("entry"))
-        self.links: DataFrame | None = None
-        self.compared: DataFrame | None = None
-
-    def compare(self, pairs: DataFrame) -> bool:
-        """Verify pairs (a, b) of candidates, those not compared before. True if there were any."""
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
-        if self.compared is not None:
-            pairs = pairs.join(self.compared, ["a", "b"], "left_anti")
-        pairs = write_out(pairs, "pairs")
-        if pairs.isEmpty():
-            return False
-        texts = self.active.select("doc_id", "text")
-        rows = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a").select("a", "b", "text_a", "text_b")
-        found = write_out(rows.mapInArrow(_verify(self.size), "a bigint, b bigint").distinct(), "similar")
-        self.links = found if self.links is None else self.links.union(found)
-        self.compared = pairs if self.compared is None else self.compared.union(pairs)
-        return True
-
-    def open_entries(self, entries: DataFrame) -> DataFrame:
-        """The entries that hold documents of several components, with the components so far."""
-        labels = components(self.links, "a", "b").toDF("doc_id", "component")
-        own = F.coalesce("component", "doc_id").alias("component")
-        now = entries.drop("component").join(labels, "doc_id", "left").select("doc_id", "n", "entry", own)
-        mixed = now.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-        return write_out(now.join(mixed.select("entry"), "entry", "left_semi"), "open")
-
-    def run(self) -> DataFrame | None:
-        centres = self.entries.groupBy("entry").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("held")).where("held > 1")
-        met = self.entries.join(centres, "entry").where("doc_id > a")
-        if not self.compare(met.select("a", F.col("doc_id").alias("b"))):
-            return None
-        entries = self.entries
-        for turn in range(STAR_ROUNDS):
-            entries = self.open_entries(entries)
-            order = F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("h"), F.col("doc_id").alias("a"), F.col("component").alias("c"))
-            centres = entries.groupBy("entry").agg(F.min(order).alias("m")).select("entry", "m.a", "m.c")
-            met = entries.join(centres, "entry").where("component <> c")
-            if not self.compare(met.select("a", F.col("doc_id").alias("b"))):
-                break
-        entries = self.open_entries(entries)
-        other = entries.toDF(*[f"{c}_b" for c in entries.columns])
-        close = F.expr(f"100 * least(n, n_b) >= {PERCENT} * greatest(n, n_b)")
-        met = entries.join(other, F.col("entry") == F.col("entry_b")).where("component < component_b").where(close)
-        self.compare(met.select(F.col("doc_id").alias("a"), F.col("doc_id_b").alias("b")))
-        return self.links
-
-
-def similar_documents(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """Three tables: ``doc_id, n`` and class ``rep`` of every document with a set; the sizes of all rows; links between classes or None."""
+def _shared(a: Sets, b: Sets, columns: int = 4096) -> np.ndarray:
+    """How many tokens every set of ``a`` shares with every set of ``b``."""
+    keys = np.intersect1d(np.unique(a.keys), np.unique(b.keys))
+    found = np.zeros((a.n_rows, b.n_rows), np.float32)
+    places = [np.searchsorted(keys, x.keys) for x in (a, b)]
+    held = [np.append(keys, 0)[p] == x.keys for p, x in zip(places, (a, b), strict=True)]
+    for lo in range(0, len(keys), columns):
+        sides = []
+        for x, place, ok in zip((a, b), places, held, strict=True):
+            own = ok & (place >= lo) & (place < lo + columns)
+            side = np.zeros((x.n_rows, min(columns, len(keys) - lo)), np.float32)
+            side[x.rows[own], place[own] - lo] = 1
+            sides.append(side)
+        found += sides[0] @ sides[1].T
+    return found.astype(np.int64)
+
+
+def _compare_blocks(size: int):
+    """Links between documents of different components in two blocks: enough of them to join what is joined."""
+
+    def run(table: pa.Table) -> pa.Table:
+        second = table["second"].to_numpy(zero_copy_only=False)
+        alone = table["b1"][0].as_py() == table["b2"][0].as_py()
+        sides = [table.filter(pa.array(~second)), table if alone else table.filter(pa.array(second))]
+        if not all(s.num_rows for s in sides):
+            return table.select(["doc_id", "doc_id"]).slice(0, 0).rename_columns(["a", "b"])
+        sets = [Sets(s["text"], size) for s in sides]
+        ids = [s["doc_id"].to_numpy() for s in sides]
+        component = [s["component"].to_numpy() for s in sides]
+        shared = _shared(*sets)
+        total = sets[0].counts[:, None] + sets[1].counts[None, :] - shared
+        linked = (shared > 0) & (100 * shared >= PERCENT * total) & (component[0][:, None] != component[1][None, :])
+        root: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
+        found = []
+        for i, j in zip(*(x.tolist() for x in np.nonzero(linked)), strict=True):
+            x, y = top(int(component[0][i])), top(int(component[1][j]))
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                found.append((int(ids[0][i]), int(ids[1][j])))
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    return run
+
+
+def _star_links(active: DataFrame, entries: DataFrame, size: int) -> DataFrame:
+    """Links between the first document of every entry and the others."""
+    centres = entries.groupBy("entry").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("held")).where("held > 1")
+    met = entries.join(centres, "entry").where("doc_id > a")
+    pairs = write_out(met.select("a", F.col("doc_id").alias("b")).distinct(), "pairs")
+    texts = active.select("doc_id", "text")
+    rows = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a").select("a", "b", "text_a", "text_b")
+    return write_out(rows.mapInArrow(_verify(size), "a bigint, b bigint").distinct(), "similar")
+
+
+def _block_links(active: DataFrame, entries: DataFrame, links: DataFrame, size: int) -> DataFrame:
+    """Links that the stars have missed: between documents of different components that share an entry.
+
+    Documents are put into blocks of about ``BLOCK_TOKENS`` tokens by the largest of their open entries, large components apart. Blocks
+    whose documents share an entry are compared as matrices, unless they hold one and the same component; no pair is listed.
+    """
+    labels = components(links, "a", "b").toDF("doc_id", "component")
+    now = entries.join(labels, "doc_id", "left").select("doc_id", "n", "entry", F.coalesce("component", "doc_id").alias("component"))
+    held = now.groupBy("entry").agg(F.count(F.lit(1)).alias("held"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    mixed = held.where("lo < hi").select("entry", "held")
+    opened = write_out(now.join(mixed, "entry"), "open")
+    most = F.max(F.struct("held", "entry"))["entry"].alias("home")
+    homes = opened.groupBy("doc_id").agg(most, F.max("n").alias("n"), F.min("component").alias("component"))
+    by_component = homes.groupBy("home", "component").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).alias("own_blocks"), F.sum("n").alias("own_n"))
+    small = F.sum(F.when(F.col("own_blocks") == 1, F.col("own_n")).otherwise(0))
+    by_home = by_component.groupBy("home").agg(F.ceil(small / BLOCK_TOKENS).alias("shared_blocks"))
+    place = F.when(
+        F.col("own_blocks") > 1, F.xxhash64("home", "component", F.pmod(F.xxhash64("doc_id"), F.col("own_blocks")))
+    ).otherwise(F.xxhash64("home", F.lit("shared"), F.pmod(F.xxhash64("component"), F.col("shared_blocks"))))
+    blocks = write_out(
+        homes.join(by_component, ["home", "component"]).join(by_home, "home").select("doc_id", "component", place.alias("block")), "blocks"
+    )
+    holds = blocks.groupBy("block").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    at = opened.select("doc_id", "entry").join(blocks.select("doc_id", "block"), "doc_id").select("entry", "block").distinct()
+    at = write_out(at.join(holds, "block").select("entry", "block", "lo", "hi"), "entry-blocks")
+    left, right = at.toDF("entry", "b1", "lo1", "hi1"), at.toDF("entry", "b2", "lo2", "hi2")
+    differ = F.expr("b1 <= b2 and not (lo1 = hi1 and lo2 = hi2 and lo1 = lo2)")
+    met = write_out(left.join(right, "entry").where(differ).select("b1", "b2").distinct(), "block-pairs")
+    texts = blocks.join(active.select("doc_id", "text"), "doc_id")
+    first = met.join(texts.withColumnRenamed("block", "b1"), "b1").withColumn("second", F.lit(False))
+    other = met.where("b1 < b2").join(texts.withColumnRenamed("block", "b2"), "b2").withColumn("second", F.lit(True))
+    dealt = first.select("b1", "b2", "doc_id", "component", "text", "second").unionByName(other)
+    return write_out(dealt.groupBy("b1", "b2").applyInArrow(_compare_blocks(size), "a bigint, b bigint"), "block-links")
+
+
+def _links(active: DataFrame, size: int) -> DataFrame:
+    entries = active.select("doc_id", "n", F.explode("entries").alias("entry"))
+    stars = _star_links(active, entries, size)
+    return stars.union(_block_links(active, entries, stars, size))
+
+
+def similar_documents(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Three tables: ``doc_id, n`` and class ``rep`` of every document with a set; the sizes of all rows; links ``a, b`` between
+    classes, enough of them to connect what is connected."""
     texts = texts_of(docs)
     sets = write_out(texts.mapInArrow(_digests(size), "doc_id bigint, n bigint, k1 bigint, k2 bigint"), "sets")
     held = sets.where("n > 0 and doc_id is not null")
@@ -321,16 +370,14 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame,
     answers = sent.groupBy("bucket").applyInArrow(_classify(RARE), info)
     known = listed.union(answers)
     active = dealt.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(_index(size, bits, buckets), _ACTIVE)
-    return members, sets.select("doc_id", "n"), _Join(write_out(active, "indexed"), size).run()
+    return members, sets.select("doc_id", "n"), _links(write_out(active, "indexed"), size)
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document."""
     members, sizes, links = similar_documents(docs, size)
     ends = members.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    if links is not None:
-        ends = ends.union(links)
-    joined = components(ends, "a", "b").withColumnRenamed("node", "doc_id")
+    joined = components(ends.union(links), "a", "b").withColumnRenamed("node", "doc_id")
     return sizes.join(joined, "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )

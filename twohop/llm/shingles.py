@@ -42,7 +42,7 @@ from twohop.store import write_out
 SHINGLE = 4
 PERCENT = 85
 RARE = 32
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
 BUCKET_TOKENS = 2_000_000
 BLOCK_TOKENS = 150_000
 _SINGLE = 12  # sets so small are indexed by single tokens of all classes

@@ -26,7 +26,7 @@ from twohop.llm.blocks import pack, unpack
 from twohop.llm.tables import parts, texts_of, total_bytes
 from twohop.llm.words import NOT_SPACE, Words
 
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
 BUCKET_WORDS = 2_000_000
 
 _ENTRIES = "bucket bigint, part bigint, keys binary, docs binary"

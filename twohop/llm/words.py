@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 _M = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C13  # odd, 3 modulo 8
 _RADIX = 0xD6E8FEB86659FD93

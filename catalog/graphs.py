@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twohop.operators import wedges
+from twohop.operators import two_hop_pairs
 from twohop.sources import edge_table
 
 
@@ -27,8 +27,8 @@ def co_returned_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
     together = F.shiftleft("l_orderkey", 21) + F.ascii("l_returnflag")
     lines = _table(spark, sf_dir, "lineitem").withColumn("together", together)
     # It is the shared neighbour of its parts, so a very long order is sliced like any hub.
-    met = wedges(edge_table(lines, "together", "l_partkey"), "ne")
-    return met.select(F.col("u").alias("src"), F.col("v").alias("dst"), "copies")
+    met = two_hop_pairs(edge_table(lines, "together", "l_partkey"), "ne")
+    return met.select(F.col("u").alias("src"), F.col("v").alias("dst"), F.col("instances").alias("copies"))
 
 
 def co_returned(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -112,6 +112,7 @@ ORACLE: dict[str, str] = {
     "top_k_aa": _with(_SIMPLE, _DEGREE, _WEDGE, _AA) + _top("aa"),
     "common_neighbors": _with(_SIMPLE, _WEDGE, _CN, _CN_SCORE) + "SELECT u, v, score FROM cns",
     "jaccard": _with(_SIMPLE, *_JACCARD_PARTS) + "SELECT u, v, score FROM jc",
+    "top_k_jaccard_as_is": _with(_SUPPLY, *_JACCARD_PARTS) + _top("jc"),
     "jaccard_as_is": _with(_SUPPLY, *_JACCARD_PARTS) + "SELECT u, v, score FROM jc",
     "adamic_adar": _with(_SIMPLE, _DEGREE, _WEDGE, _AA) + "SELECT u, v, score FROM aa",
     "link_scores": _with(

@@ -7,17 +7,22 @@ from pyspark.sql import functions as F
 
 from twohop import Tuning
 from twohop.operators import (
+    attach,
     cached,
     candidate_semi,
     contract_report,
     degrees,
     distinct_pairs,
+    edge_bag,
     endpoint_degrees,
     middle_weights,
     non_edges,
     pair_degree_sum,
+    pairs,
+    ranked,
     simple_graph,
     symmetrize,
+    top_k,
     two_hop_pairs,
     wedges,
     with_label,
@@ -113,3 +118,25 @@ def test_cached_lets_go(edges_of):
     with cached(edges) as kept:
         assert kept.storageLevel.useMemory and kept.storageLevel.useDisk
     assert not edges.storageLevel.useMemory
+
+
+def test_rows_without_an_id_are_no_edges(edges_of):
+    edges = edges_of([(1, 2), (1, None), (None, 2), (None, None), (2, 1)])
+    assert sorted(tuple(r) for r in degrees(edges).collect()) == [(1, 1), (2, 1)]
+    assert sorted(tuple(r) for r in symmetrize(edges).collect()) == [(1, 2), (2, 1)]
+    assert edge_bag(edges).count() == 2
+
+
+def test_a_node_without_id_takes_no_part(spark, edges_of):
+    nodes = spark.createDataFrame([(None, 9), (0, 1)], "node bigint, degree bigint")
+    found = attach(edges_of([(0, 1), (2, 3)]), "src", nodes, {"degree": "degree"})
+    assert sorted(found.collect(), key=str) == sorted([(0, 1, 1), (2, 3, None)], key=str)
+
+
+def test_ranks_and_large_k(spark, monkeypatch):
+    scores = spark.range(0, 500, numPartitions=7).selectExpr("id AS u", "id + 1 AS v", "cast(id % 13 AS double) AS score")
+    want = sorted(((r["u"], r["v"], r["score"]) for r in scores.collect()), key=lambda r: (-r[2], r[0], r[1]))
+    assert sorted((r["rank"], r["u"]) for r in ranked(scores).collect()) == [(i + 1, w[0]) for i, w in enumerate(want)]
+    monkeypatch.setattr(pairs, "ONE_TASK", 10)
+    for k in (0, 10, 11, 100, 500, 900):
+        assert sorted(tuple(r) for r in top_k(scores, k).collect()) == sorted(want[:k])

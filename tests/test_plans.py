@@ -5,7 +5,9 @@ from __future__ import annotations
 import pytest
 
 from twohop import adamic_adar, common_neighbors, jaccard, link_scores
-from twohop.operators import attach, edge_bag, source_nodes, top_k
+from twohop.operators import attach, edge_bag, endpoint_degrees, source_nodes, top_k, two_hop_pairs
+from twohop.sinks import report_lines
+from twohop.sources import bad_rows, parse_edges
 
 
 @pytest.fixture()
@@ -70,3 +72,20 @@ def test_a_hot_node_is_split_when_attributes_are_joined(shuffled):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def test_lines_are_split_once(spark, tmp_path):
+    spark.createDataFrame([("1 2",), ("x",)], "value string").write.text(str(tmp_path / "lines"))
+    lines = spark.read.text(str(tmp_path / "lines"))
+    for parsed in (parse_edges(lines), parse_edges(lines, mode="permissive"), bad_rows(lines)):
+        assert parsed._jdf.queryExecution().executedPlan().toString().count("split(") == 1
+
+
+def test_report_has_no_window_over_all_rows(edge_file):
+    assert "Window" not in executed(report_lines(common_neighbors(edge_file), 50))
+
+
+def test_pairs_are_turned_after_adding_up(shuffled, edge_file):
+    for found in (two_hop_pairs(edge_file, "ne"), endpoint_degrees(edge_file)):
+        plan = executed(found).split("Initial Plan")[0]
+        assert plan.index("Generate inline") < plan.index("functions=[sum(copies" if "sum(copies" in plan else "functions=[max(")

@@ -14,6 +14,7 @@ from twohop.operators.pairs import (
     endpoint_degrees,
     non_edges,
     pair_degree_sum,
+    ranked,
     top_k,
     with_label,
 )
@@ -32,6 +33,7 @@ __all__ = [
     "middle_weights",
     "non_edges",
     "pair_degree_sum",
+    "ranked",
     "simple_graph",
     "source_nodes",
     "symmetrize",

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twohop.functions import pair_label
-from twohop.operators.wedges import wedges
+from twohop.operators.wedges import both_orders, wedges
+from twohop.store import write_out
 from twohop.tuning import DEFAULT, Tuning
 
+#: Rows that one task sorts for a top k.
+ONE_TASK = 1_000_000
+
 
 def distinct_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.select("u", "v").dropDuplicates(["u", "v"])
@@ -33,8 +37,10 @@ def canonical_pairs(pairs: DataFrame) -> DataFrame:
 
 def endpoint_degrees(edges: DataFrame, tuning: Tuning = DEFAULT) -> DataFrame:
     """Ordered unconnected pairs that share a neighbour, with the degree of the first: ``(u, v, degree)``."""
-    found = wedges(edges, "ne", end_degrees=True, tuning=tuning).where(F.col("degree_u").isNotNull())
-    return non_edges(found.groupBy("u", "v").agg(F.max("degree_u").alias("degree")), edges)
+    found = wedges(edges, end_degrees=True, tuning=tuning)
+    pairs = found.groupBy("u", "v").agg(F.max("degree_u").alias("degree_u"), F.max("degree_v").alias("degree_v"))
+    ordered = both_orders(pairs).where(F.col("degree_u").isNotNull())
+    return non_edges(ordered.select("u", "v", F.col("degree_u").alias("degree")), edges)
 
 
 def pair_degree_sum(ordered: DataFrame) -> DataFrame:
@@ -48,8 +54,32 @@ def with_label(pairs: DataFrame) -> DataFrame:
     return pairs.select(pair_label().alias("label"), *rest)
 
 
+def _order() -> list[Column]:
+    return [F.col("score").desc(), F.col("u"), F.col("v")]
+
+
 def top_k(scores: DataFrame, k: int) -> DataFrame:
-    """The k best scores; equal scores in order of u, v."""
+    """The k best scores; equal scores in order of u, v.
+
+    Up to ``ONE_TASK`` rows meet in one task; more are taken from a distributed sort. The rows are the same.
+    """
     if k < 0:
         raise ValueError(f"k must not be negative, got {k}")
-    return scores.orderBy(F.col("score").desc(), "u", "v").limit(k)
+    if k > ONE_TASK:
+        return ranked(scores).where(F.col("rank") <= k).drop("rank")
+    return scores.orderBy(*_order()).limit(k)
+
+
+def ranked(scores: DataFrame) -> DataFrame:
+    """All scores with their ``rank`` from 1: sorted by ranges, numbered within each, and shifted by the ranges before."""
+    placed = scores.orderBy(*_order()).withColumn("place", F.monotonically_increasing_id())
+    placed = write_out(placed, "sorted")
+    part, position = F.shiftright("place", 33), F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()
+    shifts, before = [], 0
+    for row in sorted(sizes, key=lambda r: r["part"]):  # a row per range of the sort
+        shifts.append((row["part"], before))
+        before += row["n"]
+    table = scores.sparkSession.createDataFrame(shifts, "part bigint, shift bigint")
+    numbered = placed.withColumn("part", part).join(table, "part")
+    return numbered.select(*scores.columns, (F.col("shift") + position + 1).alias("rank"))

@@ -24,9 +24,9 @@ def _group_of(first: Column, second: Column) -> Column:
     return F.least(first, second) * F.lit(_SLICE_SPAN) + F.greatest(first, second)
 
 
-def source_rows(bag: DataFrame, names: list[str]) -> DataFrame:
-    """Bag rows with columns of their source: any of ``degree``, ``weight``, ``fan_out``, ``peak``."""
-    nodes = source_nodes(bag)
+def source_rows(bag: DataFrame, names: list[str], nodes: DataFrame | None = None) -> DataFrame:
+    """Bag rows with columns of their source: any of ``degree``, ``weight``, ``fan_out``, ``peak``; ``nodes``: them, if at hand."""
+    nodes = source_nodes(bag) if nodes is None else nodes
     if "weight" in names:
         nodes = nodes.withColumn("weight", inverse_log_weight(F.col("degree")))
     return attach(bag, "src", nodes, {name: name for name in names})
@@ -84,6 +84,13 @@ def join_cells(cells: DataFrame, shared: list[str], ends: list[str]) -> DataFram
     )
 
 
+def both_orders(pairs: DataFrame) -> DataFrame:
+    """Every row also with u and v exchanged. Add up first: that halves what is shuffled."""
+    flip = {"u": "v", "v": "u", "degree_u": "degree_v", "degree_v": "degree_u"}
+    as_is, turned = F.struct("*"), F.struct(*[F.col(flip.get(c, c)).alias(c) for c in pairs.columns])
+    return pairs.select(F.inline(F.array(as_is, turned)))
+
+
 def wedges(
     edges: DataFrame,
     keep: str = "lt",
@@ -114,9 +121,7 @@ def wedges(
         found = found.withColumnsRenamed({"end_degree_u": "degree_u", "end_degree_v": "degree_v"})
     if keep == "lt":
         return found
-    flip = {"u": "v", "v": "u", "degree_u": "degree_v", "degree_v": "degree_u"}
-    as_is, turned = F.struct("*"), F.struct(*[F.col(flip.get(c, c)).alias(c) for c in found.columns])
-    both = found.select(F.inline(F.array(as_is, turned)))
+    both = both_orders(found)
     if keep == "ne":
         return both
     if end_degrees:
@@ -133,8 +138,10 @@ def wedges(
 
 
 def two_hop_pairs(edges: DataFrame, keep: str = "lt", tuning: Tuning = DEFAULT) -> DataFrame:
-    """Pairs that share a neighbour, connected or not, as ``(u, v, instances)``."""
-    return wedges(edges, keep, tuning=tuning).groupBy("u", "v").agg(F.sum("copies").alias("instances"))
+    """Pairs that share a neighbour, connected or not, as ``(u, v, instances)``; ``keep`` as in :func:`wedges`."""
+    found = wedges(edges, "lt" if keep == "ne" else keep, tuning=tuning)
+    pairs = found.groupBy("u", "v").agg(F.sum("copies").alias("instances"))
+    return both_orders(pairs) if keep == "ne" else pairs
 
 
 def middle_weights(edges: DataFrame, tuning: Tuning = DEFAULT) -> DataFrame:

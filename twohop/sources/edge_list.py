@@ -61,12 +61,14 @@ def parse_edges(lines: DataFrame, comment: str = "anywhere", mode: str = "failfa
     """
     parsed = _with_ids(drop_comments(lines, comment))
     good = F.col("reason").isNull()
-    if mode == "failfast":
-        message = F.concat(F.lit("malformed edge line ("), "reason", F.lit("): "), "value")
-        good = F.when(good, True).otherwise(F.raise_error(message).cast("boolean"))
-    elif mode != "permissive":
+    if mode == "permissive":
+        return parsed.where(good).select("src", "dst")
+    if mode != "failfast":
         raise ValueError(f"mode must be 'failfast' or 'permissive', not {mode!r}")
-    return parsed.where(good).select("src", "dst")
+    message = F.concat(F.lit("malformed edge line ("), "reason", F.lit("): "), "value")
+    # The id itself fails, so that no later filter on ids can drop a malformed line unseen.
+    src = F.when(good, F.col("src")).otherwise(F.raise_error(message).cast("bigint"))
+    return parsed.select(_once(src.alias("src"), F.col("dst").alias("dst")))
 
 
 def bad_rows(lines: DataFrame, comment: str = "anywhere") -> DataFrame:

@@ -1,13 +1,23 @@
-"""Tables written between the phases of a job, so that later phases start from files."""
+"""Tables written between the phases of a job, so that later phases start from files.
+
+Every table has an owner that deletes it: the innermost :func:`scratch` block around the call, or else the Python process
+when it ends. A result that reads such tables must be used before its owner closes.
+"""
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+_owners: list[list[str]] = [[]]  # the first is the process
+
 
 @cache
 def _local_folder() -> tempfile.TemporaryDirectory:
@@ -25,7 +35,36 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def write_out(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` and read it back. The files stay, like a checkpoint's, for the cluster to clean."""
+    """Write ``df`` and read it back."""
     path = f"{shared_folder(df.sparkSession)}/twohop-{name}-{uuid.uuid4().hex}"
+    _owners[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(settings).delete(place, True)
+    paths.clear()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what :func:`write_out` has written inside the block."""
+    own: list[str] = []
+    _owners.append(own)
+    try:
+        yield
+    finally:
+        _owners.remove(own)
+        _delete(spark, own)
+
+
+@atexit.register
+def _close() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and _owners[0]:
+        with contextlib.suppress(Exception):  # the session may be ending too
+            _delete(spark, _owners[0])

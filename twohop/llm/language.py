@@ -111,7 +111,7 @@ class Parser:
         return count
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _parsers(samples: tuple[tuple[str, bytes], ...]) -> tuple[list[str], np.ndarray, list[Parser]]:
     """One numbering of the symbols for all; those in no sample share a number."""
     seen = np.unique(np.frombuffer(b"".join(x for _, x in samples), np.uint8))

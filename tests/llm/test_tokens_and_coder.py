@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import time
 import zlib
 
 import numpy as np
@@ -41,6 +42,15 @@ def test_cache_is_emptied(both, monkeypatch):
         assert ours.encode([text])[0].tolist() == theirs.encode(text, add_special_tokens=False).ids
 
 
+def test_cache_is_emptied_when_idle(both, monkeypatch):
+    monkeypatch.setattr(tokens, "IDLE_SECONDS", 0.05)
+    ours, _ = both
+    ours.encode(["some words"])
+    time.sleep(0.5)
+    assert not ours.index
+    assert ours.encode(["some words"])[1].tolist() == [2]
+
+
 def test_short_cut_is_taken(both):
     assert len(both[0]._words("Plain words, été.")) > 3
 

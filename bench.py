@@ -23,7 +23,8 @@ from twohop.operators import wedges  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "5"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+HUB = int(os.environ.get("BENCH_HUB", "10000"))
 TOP = 100
 
 
@@ -43,6 +44,14 @@ QUERIES = {
 }
 
 
+def _hub_graph(spark: SparkSession, n: int) -> DataFrame:
+    """A hub with n neighbours that form a ring: half of all rows are the hub's, and its pairs would be n * n / 2."""
+    star = spark.range(1, n + 1).selectExpr("0L AS a", "id AS b")
+    ring = spark.range(1, n + 1).selectExpr("id AS a", f"1 + id % {n} AS b")
+    link = star.union(ring)
+    return link.selectExpr("a AS src", "b AS dst").union(link.selectExpr("b", "a"))
+
+
 def main() -> None:
     memory = os.environ.get("BENCH_MEMORY", "16g")
     spark = (
@@ -74,6 +83,12 @@ def main() -> None:
                 query(edges)
                 runs.append(time.time() - start)
             seconds[name] = round(statistics.median(runs), 3)
+        _hub_graph(spark, HUB).write.parquet(f"{folder}/hub")
+        hub = read_edge_table(spark, f"{folder}/hub")
+        for name in ("top_k_cn", "top_k_jc", "top_k_aa"):
+            start = time.time()
+            QUERIES[name](hub)
+            seconds[f"hub_{name}"] = round(time.time() - start, 3)
     print(
         json.dumps(
             {
@@ -85,6 +100,7 @@ def main() -> None:
                 "cpus": int(CPUS),
                 "driver_memory": memory,
                 "runs": RUNS,
+                "hub_neighbours": HUB,
                 **size,
                 "wedges_per_sec": round(size["wedges"] / seconds["link_scores"]),
                 "pairs_per_sec": round(size["candidate_pairs"] / seconds["link_scores"]),

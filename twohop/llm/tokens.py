@@ -18,7 +18,7 @@ from functools import cache
 import numpy as np
 
 CACHED_CHARS = 6_000_000
-IDLE_SECONDS = 8
+IDLE_SECONDS = 4
 
 #: The letters for which the short cut is exact, and the word patterns of the two public tokenizers.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"

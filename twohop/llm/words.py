@@ -13,7 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
+STEP_WORDS = 1 << 16
 _M = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C13  # odd, 3 modulo 8
 _RADIX = 0xD6E8FEB86659FD93
@@ -124,21 +125,20 @@ class Words:
         self.keys = self._keys(kept, fold)
 
     def _keys(self, kept: np.ndarray, fold: bool) -> np.ndarray:
-        if not len(self.starts):
-            return np.zeros(0, np.uint64)
         codes = np.where(kept, _CODES[_FOLD] if fold else _CODES, np.uint64(0))
-        lengths = self.ends - self.starts
-        spread = codes[self.data]
-        small = np.int32 if len(self.data) < 1 << 31 else np.int64
-        place = np.arange(len(self.data), dtype=small)
-        gaps = np.diff(np.append(self.starts, len(self.data)))
-        place[self.starts[0] :] -= np.repeat(self.starts.astype(small), gaps)
-        place[: self.starts[0]] = 0
-        # Blanks have the code 0, so their place does not matter; a word of n bytes needs n powers.
-        longest = int(lengths.max())
-        np.minimum(place, longest - 1, out=place)
-        spread *= _powers(_BASE, longest)[place]
-        return mix(np.add.reduceat(spread, self.starts) + lengths.astype(np.uint64))
+        keys = np.empty(len(self.starts), np.uint64)
+        for lo in range(0, len(keys), STEP_WORDS):  # so that no array over bytes is large
+            starts, ends = self.starts[lo : lo + STEP_WORDS], self.ends[lo : lo + STEP_WORDS]
+            lengths, longest = ends - starts, int((ends - starts).max())
+            spread = codes[self.data[starts[0] : ends[-1]]]
+            starts = (starts - starts[0]).astype(np.int32 if len(spread) < 1 << 31 else np.int64)
+            place = np.arange(len(spread), dtype=starts.dtype)
+            place -= np.repeat(starts, np.diff(np.append(starts, len(spread)).astype(starts.dtype)))
+            # Blanks have the code 0, so their place does not matter; a word of n bytes needs n powers.
+            np.minimum(place, longest - 1, out=place)
+            spread *= _powers(_BASE, longest)[place]
+            keys[lo : lo + STEP_WORDS] = mix(np.add.reduceat(spread, starts) + lengths.astype(np.uint64))
+        return keys
 
     def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """First word and Rabin-Karp key of every run of ``n`` words within a row."""

@@ -18,14 +18,14 @@ go to the smaller name; each row of ``docs`` gives a row.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from twohop.llm.tables import texts_of
+from twohop.llm.idle import Kept
+from twohop.llm.tables import bound_batches, texts_of
 from twohop.llm.words import pieces, text_buffer
 
 SAMPLE_DOCS = 60
@@ -111,8 +111,7 @@ class Parser:
         return count
 
 
-@lru_cache(maxsize=1)
-def _parsers(samples: tuple[tuple[str, bytes], ...]) -> tuple[list[str], np.ndarray, list[Parser]]:
+def _make_parsers(samples: tuple[tuple[str, bytes], ...]) -> tuple[list[str], np.ndarray, list[Parser]]:
     """One numbering of the symbols for all; those in no sample share a number."""
     seen = np.unique(np.frombuffer(b"".join(x for _, x in samples), np.uint8))
     names = np.full(256, len(seen), np.int64)
@@ -121,13 +120,20 @@ def _parsers(samples: tuple[tuple[str, bytes], ...]) -> tuple[list[str], np.ndar
     return [lang for lang, _ in samples], names.astype(np.int32), parsers
 
 
+_parsers = Kept(_make_parsers)
+
+
 def _has_letter(text: str | None) -> bool:
     return text is not None and any(c.isalpha() for c in text)
 
 
 def _judge(samples: tuple[tuple[str, bytes], ...], text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Predicted language and score of each text."""
-    langs, names, parsers = _parsers(samples)
+    with _parsers.use(samples) as (langs, names, parsers):
+        return _parse(langs, names, parsers, text)
+
+
+def _parse(langs: list[str], names: np.ndarray, parsers: list[Parser], text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     known = np.array([*langs, "und"], object)
     data, bounds = text_buffer(text)
     found, ends = symbols(data, bounds)
@@ -203,5 +209,6 @@ def identify(docs: DataFrame, learn_from: Column) -> DataFrame:
 
 def keep_identified(docs: DataFrame, learn_from: Column) -> DataFrame:
     """The rows of ``docs`` whose language can be told, with all their columns."""
+    bound_batches(docs.sparkSession)
     samples = language_samples(docs.where(learn_from).select("doc_id", "text", "lang"))
     return docs.mapInArrow(_keep(samples), docs.schema)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from twohop.llm.tables import parts, texts_of
-from twohop.llm.tokens import encoder, with_end
+from twohop.llm.tokens import encode, with_end
 from twohop.llm.words import pieces as slices
 from twohop.store import write_out
 
@@ -39,7 +39,7 @@ _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigi
 def _cut(path: str, end_id: int, size: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, size=1 << 20):
-            ids, counts = with_end(*encoder(path).encode(batch.column("text").to_pylist()), end_id)
+            ids, counts = with_end(*encode(path, batch.column("text").to_pylist()), end_id)
             ids = np.ascontiguousarray(ids, dtype="<u4")
             number = -(-counts // size)
             row = np.repeat(np.arange(len(counts)), number)

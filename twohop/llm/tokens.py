@@ -3,8 +3,7 @@
 Most words of a corpus are repeats. Where the tokenizer splits a text into words first and treats each
 alone, the words are cut out with the same pattern, and only words not seen before go to the tokenizer. The
 short cut is taken for texts whose characters it is exact for (printable ASCII and Latin letters); others
-go to the tokenizer whole. The cache belongs to the Python worker and is emptied at a fixed size, and when it has been idle for some
-seconds, since the worker then serves other operators.
+go to the tokenizer whole. The cache belongs to the Python worker and is emptied at a fixed size.
 """
 
 from __future__ import annotations
@@ -12,13 +11,12 @@ from __future__ import annotations
 import json
 import os
 import re
-import threading
-from functools import cache
 
 import numpy as np
 
+from twohop.llm.idle import Kept
+
 CACHED_CHARS = 6_000_000
-IDLE_SECONDS = 4
 
 #: The letters for which the short cut is exact, and the word patterns of the two public tokenizers.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -62,13 +60,8 @@ class Encoder:
             first = (cut.get("pretokenizers") or [{}])[0]
             if first.get("pattern") == {"Regex": _WORD_ENDS_PATTERN} and first.get("invert"):
                 self.pattern, self.lower, self.between = _WORD_ENDS, True, "0"
-        self.lock, self.timer = threading.Lock(), None
         self._empty()
 
-    def _rest(self) -> None:
-        with self.lock:
-            self._empty()
-
     def _empty(self) -> None:
         self.index, self.chars = _Index(), 0
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
@@ -116,16 +109,6 @@ class Encoder:
         return self.pattern.findall(text.lower() if self.lower else text)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        if self.timer is not None:
-            self.timer.cancel()
-        with self.lock:
-            found = self._encode(texts)
-        self.timer = threading.Timer(IDLE_SECONDS, self._rest)
-        self.timer.daemon = True
-        self.timer.start()
-        return found
-
-    def _encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         if self.chars > CACHED_CHARS:
             self._empty()
         words: list[str] = []
@@ -141,9 +124,13 @@ class Encoder:
         return ids, np.diff(total[ends])
 
 
-@cache
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+_encoder = Kept(Encoder)
+
+
+def encode(path: str, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of the texts in one array, and the number of ids of each, by the tokenizer file at ``path``."""
+    with _encoder.use(path) as own:
+        return own.encode(texts)
 
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

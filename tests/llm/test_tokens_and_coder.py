@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from invented import prose
 from tokenizers import Tokenizer
 
-from twohop.llm import range_coder, tokens
+from twohop.llm import idle, range_coder, tokens
 from twohop.llm.queries import BYTE_TOKENS, WORD_TOKENS
 from twohop.llm.range_coder import decode_ids, encode_ids, read_ids, write_ids
 from twohop.llm.tokens import Encoder
@@ -42,13 +42,17 @@ def test_cache_is_emptied(both, monkeypatch):
         assert ours.encode([text])[0].tolist() == theirs.encode(text, add_special_tokens=False).ids
 
 
-def test_cache_is_emptied_when_idle(both, monkeypatch):
-    monkeypatch.setattr(tokens, "IDLE_SECONDS", 0.05)
-    ours, _ = both
-    ours.encode(["some words"])
+def test_kept_values_are_given_up_when_idle(monkeypatch):
+    monkeypatch.setattr(idle, "IDLE_SECONDS", 0.05)
+    made = []
+    kept = idle.Kept(lambda key: made.append(key) or [key])
+    for key in ("a", "a", "b"):
+        with kept.use(key) as value:
+            assert value == [key]
     time.sleep(0.5)
-    assert not ours.index
-    assert ours.encode(["some words"])[1].tolist() == [2]
+    assert made == ["a", "b"] and kept.value is None
+    with kept.use("b") as value:
+        assert value == ["b"]
 
 
 def test_short_cut_is_taken(both):

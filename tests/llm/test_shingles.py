@@ -118,3 +118,31 @@ def test_group_of_which_few_link(docs_of, monkeypatch):
     found = _run(docs_of, docs)
     assert found == _brute(docs)
     assert 1 < len({r[2] for r in found}) < 40
+
+
+@pytest.mark.parametrize("small", range(9, 16))
+@pytest.mark.parametrize("all_frequent", [True, False])
+def test_sizes_around_single_tokens_share_an_entry(small, all_frequent):
+    """Every size of partner of a small set, with frequent tokens only or one rare or unique token that the partner lacks."""
+    keys = np.sort(np.random.default_rng(small).integers(0, 2**63, 40, dtype=np.uint64))
+    for large in range(small, small + 4):
+        if 100 * small >= 85 * large:
+            a, b = (set(signatures(0, keys[:0], keys[:n]).tolist()) for n in (small, large))
+            assert a & b
+    if not all_frequent and 100 * (small - 1) >= 85 * (small + 1):
+        for one in ((1, keys[:0]), (0, keys[30:31])):
+            a, b = set(signatures(*one, keys[: small - 1]).tolist()), set(signatures(0, keys[:0], keys[:small]).tolist())
+            assert a & b
+
+
+def test_small_texts_of_frequent_tokens_only(docs_of):
+    """Sets of 12 shingles whose only partners are sets of 13 and 14, all of whose shared tokens are frequent."""
+    import random
+
+    rng = random.Random(12)
+    base = [word(rng) for _ in range(15)]
+    docs = [(1, " ".join(base))]
+    docs += [(10 + i, " ".join([*base, *[word(rng) for _ in range(1 + i % 2)]])) for i in range(40)]
+    found = _run(docs_of, docs)
+    assert found == _brute(docs)
+    assert {r[2] for r in found} == {1}

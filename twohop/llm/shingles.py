@@ -45,7 +45,7 @@ RARE = 32
 GROUP_BYTES = 4 << 20
 BUCKET_TOKENS = 2_000_000
 BLOCK_TOKENS = 150_000
-_SINGLE = 12  # sets so small are indexed by single tokens of all classes
+_SINGLE = 12  # sets so small are indexed by single tokens of all classes only, their larger partners by single tokens as well
 
 
 class Sets:
@@ -169,9 +169,9 @@ def signatures(unique: int, rare: np.ndarray, frequent: np.ndarray) -> np.ndarra
         return np.zeros(0, np.uint64)
     found = [rare[: need - unique]]
     need -= unique + len(rare)
-    if need > 0 and n <= _SINGLE:
+    if need > 0 and n - most_missing(n) <= _SINGLE:
         found.append(frequent)
-    elif need > 0:
+    if need > 0 and n > _SINGLE:
         for tag in (band(n), band(n) + 1):
             sub = frequent % np.uint64(_subclasses(tag))
             head = np.zeros(len(frequent), bool)

@@ -17,6 +17,9 @@ from twohop.llm import decontaminate, language, lines, packing, shingles
 from twohop.llm.queries import BYTE_TOKENS, learnt_languages, tokenizer_path
 from twohop.store import write_out
 
+#: Near copies: runs of five words, similarity of 0.8 or more. The query op5 has a rule of its own.
+COPY_WORDS, COPY_PERCENT = 5, 80
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.keep_identified(docs, learnt_languages())
@@ -30,7 +33,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without ``doc_id`` stay; rows with the same ``doc_id`` stay or go together."""
-    found = shingles.near_duplicates(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    found = shingles.near_duplicates(docs, COPY_WORDS, COPY_PERCENT).where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
 
 

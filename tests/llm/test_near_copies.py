@@ -1,0 +1,74 @@
+"""The rule of the pipeline's near copies, and similarities other than the query's."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from invented import word
+
+import corpus_pipeline
+from twohop.llm import shingles
+from twohop.llm.shingles import near_duplicates, signatures
+
+
+def _first_of_group(docs, size, percent):
+    """The smallest id of each document's group; texts of at least ``size`` plain words."""
+    sets = [{tuple(w[i : i + size]) for i in range(len(w) - size + 1)} for w in (t.split() for _, t in docs)]
+    first = {d: d for d, _ in docs}
+    for (a, _), x in zip(docs, sets, strict=True):
+        for (b, _), y in zip(docs, sets, strict=True):
+            if 100 * len(x & y) >= percent * len(x | y) and first[a] != first[b]:
+                low, high = sorted((first[a], first[b]))
+                first = {d: low if f == high else f for d, f in first.items()}
+    return first
+
+
+@pytest.fixture(scope="module")
+def copies():
+    """Texts with up to 30 words appended or up to 6 replaced."""
+    rng = random.Random(80)
+    docs = []
+    for group in range(4):
+        base = [word(rng) for _ in range((100, 40, 16, 14)[group])]
+        docs.append((100 * group, " ".join(base)))
+        for i in range(10):
+            docs.append((100 * group + 10 + i, " ".join([*base, *[word(rng) for _ in range(rng.randint(1, len(base) * 3 // 10))]])))
+            changed = list(base)
+            for _ in range(rng.randint(1, 6)):
+                changed[rng.randrange(len(changed))] = word(rng)
+            docs.append((100 * group + 50 + i, " ".join(changed)))
+    return docs
+
+
+def test_stage_takes_five_words_and_four_fifths(spark, docs_of, copies):
+    rng = random.Random(1)
+    base = [word(rng) for _ in range(100)]
+    docs = [*copies, (1000, " ".join(base)), (1001, " ".join([*base, *[word(rng) for _ in range(20)]]))]
+    kept = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs_of(docs), "").select("doc_id").collect()}
+    want = _first_of_group(docs, 5, 80)
+    assert kept == set(want.values()) and 1000 in kept and 1001 not in kept
+    assert kept != set(_first_of_group(docs, 4, 85).values())
+
+
+@pytest.mark.parametrize("rare", [32, 2])
+def test_similarity_given(docs_of, copies, monkeypatch, rare):
+    monkeypatch.setattr(shingles, "RARE", rare)
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs_of(copies), 5, 80).collect()}
+    assert found == _first_of_group(copies, 5, 80)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 100])
+def test_similar_sets_share_an_entry(percent):
+    """Sets of which one holds the other, of all sizes, with frequent tokens only."""
+    keys = np.sort(np.random.default_rng(percent).integers(0, 2**63, 130, dtype=np.uint64))
+    for large in range(1, 131):
+        small = -(-percent * large // 100)
+        a, b = (set(signatures(0, keys[:0], keys[-n:], percent).tolist()) for n in (small, large))
+        assert a & b
+
+
+def test_similarity_too_low(docs_of):
+    with pytest.raises(ValueError, match="50 to 100"):
+        near_duplicates(docs_of([]), 5, 49)

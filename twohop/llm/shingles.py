@@ -1,7 +1,7 @@
 """N-gram Jaccard join with token-combination prefixes.
 
-A document is its set of distinct runs of ``SHINGLE`` words, the tokens. Two documents link when their sets' Jaccard similarity reaches
-``PERCENT``. Equal sets are one class from the start. Then:
+A document is its set of distinct runs of ``size`` words (``SHINGLE`` unless given), the tokens. Two documents link when their sets'
+Jaccard similarity reaches ``percent`` (``PERCENT`` unless given; 50 to 100). Equal sets are one class from the start. Then:
 
 1. Count, in how many classes each token occurs. Documents are dealt into groups by id; a group sends a short form of its distinct tokens to
    buckets and gets back a class of frequency for each: unique, rare (up to ``RARE`` documents) or frequent.
@@ -19,7 +19,7 @@ The texts are shuffled once to be counted and indexed (both uses share the excha
 
 Tokens are 64-bit keys; the short form in step 1 only decides the class, the same for all who hold a token.
 
-Defined results: null or blank text has an empty set and links with nothing; fewer words than ``SHINGLE`` are one token; a row without ``doc_id``
+Defined results: null or blank text has an empty set and links with nothing; fewer words than ``size`` are one token; a row without ``doc_id``
 links with nothing; rows with the same ``doc_id`` are one document with several texts, linked if one of them is.
 """
 
@@ -151,29 +151,29 @@ def _classify(rare: int):
     return run
 
 
-def band(n: int) -> int:
+def band(n: int, percent: int = PERCENT) -> int:
     """Sets that can link have the same band or neighbouring ones."""
-    return int(math.log(n) / -math.log(PERCENT / 100 - 0.001))
+    return int(math.log(n) / -math.log(percent / 100 - 0.001))
 
 
-def _subclasses(band_no: int) -> int:
-    smallest = int((1 / (PERCENT / 100 - 0.001)) ** band_no)
-    return max(1, most_missing(smallest) // 3)
+def _subclasses(band_no: int, percent: int) -> int:
+    smallest = int((1 / (percent / 100 - 0.001)) ** band_no)
+    return max(1, most_missing(smallest, percent) // 3)
 
 
-def signatures(unique: int, rare: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+def signatures(unique: int, rare: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Index entries of a set with so many unique tokens and these others, each ascending."""
     n = unique + len(rare) + len(frequent)
-    need = int(most_missing(n)) + 1
+    need = int(most_missing(n, percent)) + 1
     if unique >= need:
         return np.zeros(0, np.uint64)
     found = [rare[: need - unique]]
     need -= unique + len(rare)
-    if need > 0 and n - most_missing(n) <= _SINGLE:
+    if need > 0 and n - most_missing(n, percent) <= _SINGLE:
         found.append(frequent)
     if need > 0 and n > _SINGLE:
-        for tag in (band(n), band(n) + 1):
-            sub = frequent % np.uint64(_subclasses(tag))
+        for tag in (band(n, percent), band(n, percent) + 1):
+            sub = frequent % np.uint64(_subclasses(tag, percent))
             head = np.zeros(len(frequent), bool)
             head[np.unique(sub, return_index=True)[1]] = True
             end = int(np.searchsorted(np.cumsum(~head), need)) + 1
@@ -190,7 +190,7 @@ def signatures(unique: int, rare: np.ndarray, frequent: np.ndarray) -> np.ndarra
 _ACTIVE = "doc_id bigint, n bigint, text string, entries array<bigint>"
 
 
-def _index(size: int, bits: int, buckets: int):
+def _index(size: int, percent: int, bits: int, buckets: int):
     def run(docs: pa.Table, info: pa.Table) -> pa.Table:
         ids, ns, texts, entries = [], [], [], []
         if docs.num_rows:
@@ -203,10 +203,10 @@ def _index(size: int, bits: int, buckets: int):
             code = codes[group.back]
             own_ids, own_texts = group.docs["doc_id"].to_numpy(), group.docs["text"]
             unique = np.bincount(sets.rows[code == 0], minlength=sets.n_rows)
-            for row in np.flatnonzero((sets.counts > 0) & (unique <= most_missing(sets.counts))):
+            for row in np.flatnonzero((sets.counts > 0) & (unique <= most_missing(sets.counts, percent))):
                 lo, hi = sets.first[row], sets.first[row + 1]
                 keys, kind = sets.keys[lo:hi], code[lo:hi]
-                found = signatures(int(unique[row]), keys[kind == 1], keys[kind == 2])
+                found = signatures(int(unique[row]), keys[kind == 1], keys[kind == 2], percent)
                 if len(found):
                     ids.append(int(own_ids[row]))
                     ns.append(hi - lo)
@@ -226,7 +226,7 @@ def _index(size: int, bits: int, buckets: int):
     return run
 
 
-def _verify(size: int):
+def _verify(size: int, percent: int):
     """The pairs of texts that are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,7 +240,7 @@ def _verify(size: int):
                 order = np.lexsort((keys, rows))
                 rows, keys = rows[order], keys[order]
                 shared = np.bincount(rows[1:][(keys[1:] == keys[:-1]) & (rows[1:] == rows[:-1])], minlength=part.num_rows)
-                linked = (shared > 0) & (100 * shared >= PERCENT * (a.counts + b.counts - shared))
+                linked = (shared > 0) & (100 * shared >= percent * (a.counts + b.counts - shared))
                 yield part.select(["a", "b"]).filter(pa.array(linked))
 
     return run
@@ -263,7 +263,7 @@ def _shared(a: Sets, b: Sets, columns: int = 4096) -> np.ndarray:
     return found.astype(np.int64)
 
 
-def _compare_blocks(size: int):
+def _compare_blocks(size: int, percent: int):
     """Links between documents of different components in two blocks: enough of them to join what is joined."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -277,7 +277,7 @@ def _compare_blocks(size: int):
         component = [s["component"].to_numpy() for s in sides]
         shared = _shared(*sets)
         total = sets[0].counts[:, None] + sets[1].counts[None, :] - shared
-        linked = (shared > 0) & (100 * shared >= PERCENT * total) & (component[0][:, None] != component[1][None, :])
+        linked = (shared > 0) & (100 * shared >= percent * total) & (component[0][:, None] != component[1][None, :])
         root: dict[int, int] = {}
 
         def top(x: int) -> int:
@@ -296,17 +296,17 @@ def _compare_blocks(size: int):
     return run
 
 
-def _star_links(active: DataFrame, entries: DataFrame, size: int) -> DataFrame:
+def _star_links(active: DataFrame, entries: DataFrame, size: int, percent: int) -> DataFrame:
     """Links between the first document of every entry and the others."""
     centres = entries.groupBy("entry").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("held")).where("held > 1")
     met = entries.join(centres, "entry").where("doc_id > a")
     pairs = write_out(met.select("a", F.col("doc_id").alias("b")).distinct(), "pairs")
     texts = active.select("doc_id", "text")
     rows = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a").select("a", "b", "text_a", "text_b")
-    return write_out(rows.mapInArrow(_verify(size), "a bigint, b bigint").distinct(), "similar")
+    return write_out(rows.mapInArrow(_verify(size, percent), "a bigint, b bigint").distinct(), "similar")
 
 
-def _block_links(active: DataFrame, entries: DataFrame, links: DataFrame, size: int) -> DataFrame:
+def _block_links(active: DataFrame, entries: DataFrame, links: DataFrame, size: int, percent: int) -> DataFrame:
     """Links that the stars have missed: between documents of different components that share an entry.
 
     Documents are put into blocks of about ``BLOCK_TOKENS`` tokens by the largest of their open entries, large components apart. Blocks
@@ -338,18 +338,20 @@ def _block_links(active: DataFrame, entries: DataFrame, links: DataFrame, size:
     first = met.join(texts.withColumnRenamed("block", "b1"), "b1").withColumn("second", F.lit(False))
     other = met.where("b1 < b2").join(texts.withColumnRenamed("block", "b2"), "b2").withColumn("second", F.lit(True))
     dealt = first.select("b1", "b2", "doc_id", "component", "text", "second").unionByName(other)
-    return write_out(dealt.groupBy("b1", "b2").applyInArrow(_compare_blocks(size), "a bigint, b bigint"), "block-links")
+    return write_out(dealt.groupBy("b1", "b2").applyInArrow(_compare_blocks(size, percent), "a bigint, b bigint"), "block-links")
 
 
-def _links(active: DataFrame, size: int) -> DataFrame:
+def _links(active: DataFrame, size: int, percent: int) -> DataFrame:
     entries = active.select("doc_id", "n", F.explode("entries").alias("entry"))
-    stars = _star_links(active, entries, size)
-    return stars.union(_block_links(active, entries, stars, size))
+    stars = _star_links(active, entries, size, percent)
+    return stars.union(_block_links(active, entries, stars, size, percent))
 
 
-def similar_documents(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame, DataFrame]:
+def similar_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Three tables: ``doc_id, n`` and class ``rep`` of every document with a set; the sizes of all rows; links ``a, b`` between
     classes, enough of them to connect what is connected."""
+    if not 50 <= percent <= 100:  # below, similar sets may share fewer tokens than there are subclasses
+        raise ValueError(f"percent must be from 50 to 100, not {percent}")
     texts = texts_of(docs)
     sets = write_out(texts.mapInArrow(_digests(size), "doc_id bigint, n bigint, k1 bigint, k2 bigint"), "sets")
     held = sets.where("n > 0 and doc_id is not null")
@@ -369,13 +371,13 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame,
     )
     answers = sent.groupBy("bucket").applyInArrow(_classify(RARE), info)
     known = listed.union(answers)
-    active = dealt.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(_index(size, bits, buckets), _ACTIVE)
-    return members, sets.select("doc_id", "n"), _links(write_out(active, "indexed"), size)
+    active = dealt.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(_index(size, percent, bits, buckets), _ACTIVE)
+    return members, sets.select("doc_id", "n"), _links(write_out(active, "indexed"), size, percent)
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document."""
-    members, sizes, links = similar_documents(docs, size)
+    members, sizes, links = similar_documents(docs, size, percent)
     ends = members.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     joined = components(ends.union(links), "a", "b").withColumnRenamed("node", "doc_id")
     return sizes.join(joined, "doc_id", "left").select(

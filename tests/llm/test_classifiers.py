@@ -8,7 +8,7 @@ import pytest
 from invented import prose
 from pyspark.sql import functions as F
 
-from twohop.llm.language import Parser, identify, keep_identified, symbols
+from twohop.llm.language import Parser, identify, keep_identified, language_samples, symbols
 from twohop.llm.quality import isotonic, score_quality
 from twohop.llm.statistics import NAMES, statistics
 from twohop.llm.toxicity import CATEGORIES, score_toxicity
@@ -78,6 +78,22 @@ def test_long_text_is_parsed_whole(docs_of, two_languages):
     assert found[500] == "bb"
 
 
+def test_language_of_long_texts_only(docs_of, two_languages):
+    """Long labelled texts are learnt from, whatever stands before their letters and however many labelled texts have none."""
+    long = [(i, "1 " * 6000 + " ".join([t] * (9000 // len(t) + 1)), lang) for i, t, lang in two_languages]
+    letterless = [(1000 + i, "12 34", lang) for i in range(150) for lang in ("aa", "bb")]
+    for labelled in ([x for x in long if x[2] == "aa"] + [x for x in two_languages if x[2] == "bb"], [*long, *letterless]):
+        unknown = [(5000 + i, t, None) for i, t, _ in two_languages]
+        found = {r["doc_id"]: r["lang_pred"] for r in identify(docs_of([*labelled, *unknown]), F.col("doc_id") < 5000).collect()}
+        assert all(found[5000 + i] == lang for i, _, lang in two_languages)
+    assert all(len(x) <= 48_000 for _, x in language_samples(docs_of(long).select("doc_id", "text", "lang")))
+
+
+def test_sample_of_wide_characters_is_cut(docs_of):
+    (_, sample), = language_samples(docs_of([(1, "語" * 9000, "zh")]).select("doc_id", "text", "lang"))
+    assert sample.decode() == "語" * (8000 // 3)
+
+
 def test_statistics():
     found = statistics(pa.array([None, "", "Aa aa  AA!\n12", " \t"]))
     assert found.shape == (4, len(NAMES)) and not found[[0, 1, 3]].any() and np.isfinite(found).all()

@@ -8,8 +8,8 @@ next phrase and says so. Runs of ``RUN`` symbols of all texts of a piece are par
 Symbols are the bytes of letters, in lower case as far as ASCII and the Latin-1 letters go; everything else is one
 separator, repeats of which count once.
 
-Only the sample goes to the driver and the tasks: per language at most ``SAMPLE_DOCS`` texts of at most ``SAMPLE_TEXT``
-bytes, in the order of a hash of their ids, and ``SAMPLE_BYTES`` bytes in all, fewer if there are many languages.
+Only the sample goes to the driver and the tasks: per language at most ``SAMPLE_DOCS`` texts with a letter, of each at most
+``SAMPLE_TEXT`` bytes from its first letter on, in the order of a hash of their ids, and ``SAMPLE_BYTES`` bytes in all, fewer if there are many languages.
 
 Defined results: null text and text without a letter is ``und`` with score 0; so is all text if nothing is labelled; ties
 go to the smaller name; each row of ``docs`` gives a row.
@@ -187,12 +187,15 @@ def _keep(samples: tuple[tuple[str, bytes], ...]):
 def language_samples(labelled: DataFrame) -> tuple[tuple[str, bytes], ...]:
     """Symbols of some texts of each language of ``labelled(doc_id, text, lang)``."""
     texts = labelled.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    texts = texts.where(F.col("lang").isNotNull() & (F.octet_length("text").between(1, SAMPLE_TEXT)))
+    # A long text gives a slice, cut before texts are sorted; a text without a letter takes no other's place.
+    start = F.regexp_extract("text", rf"(?s)\p{{L}}.{{0,{SAMPLE_TEXT - 1}}}", 0)
+    texts = texts.where(F.col("lang").isNotNull()).withColumn("text", F.substring(F.encode(start, "UTF-8"), 1, SAMPLE_TEXT))
+    texts = texts.where(F.octet_length("text") > 0)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
     some = texts.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= SAMPLE_DOCS)
     by_lang: dict[str, list[str]] = {}
     for row in some.select("lang", "text").sort("lang", "nth").collect():
-        by_lang.setdefault(row["lang"], []).append(row["text"])
+        by_lang.setdefault(row["lang"], []).append(bytes(row["text"]).decode(errors="ignore"))
     most = min(SAMPLE_BYTES, ALL_SAMPLES // max(len(by_lang), 1))
     found = []
     for lang, own in sorted(by_lang.items()):

@@ -46,3 +46,9 @@ def test_nothing(docs_of):
 def test_other_columns_are_carried(docs_of):
     row = drop_frequent_lines(docs_of([(1, "a", "en")])).first()
     assert row["others"]["lang"] == "en" and row["others"]["gone"] == "x" and row["others"]["doc_id"] == 1
+
+
+def test_same_id_with_different_texts(docs_of):
+    """A frequent line of one text leaves the line at its place in the other alone."""
+    docs = [(i, f"own {i}\ncommon") for i in range(5)] + [(1, "first\nsecond\ncommon"), (1, "common\nlast"), (1, "common\nlast"), (1, None)]
+    assert _run(docs_of, docs, 1, 3) == _brute(docs, 1, 3)

@@ -9,7 +9,8 @@ second shuffle.
 Hashes have 128 bits, so that different lines do not meet.
 
 Defined results: null or empty text is one empty line; a row without ``doc_id`` keeps all its lines and is not counted;
-rows with the same ``doc_id`` count as one document, and each is returned.
+rows with the same ``doc_id`` count as one document, and each is returned without its own dropped lines. For that, lines carry a
+key of their text beside ``doc_id``.
 """
 
 from __future__ import annotations
@@ -50,6 +51,7 @@ def _hashes(min_chars: int):
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": piece.column("doc_id").take(pa.array(rows, pa.int64())),
+                    "text_key": piece.column("text_key").take(pa.array(rows, pa.int64())),
                     "pos": pa.array(places, pa.int32()),
                     "h1": pa.array(hashes[:, 0]),
                     "h2": pa.array(hashes[:, 1]),
@@ -83,9 +85,9 @@ def _reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def drop_frequent_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """``doc_id, text, n_lines, n_dropped`` of every document, and its other columns as the struct ``others``."""
     others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("others")
-    texts = texts_of(docs, others)
-    judged = texts.where("doc_id is not null").select("doc_id", "text")
-    lines = write_out(judged.mapInArrow(_hashes(min_chars), "doc_id bigint, pos int, h1 bigint, h2 bigint"), "lines")
+    texts = texts_of(docs, others).withColumn("text_key", F.xxhash64("text"))
+    judged = texts.where("doc_id is not null").select("doc_id", "text", "text_key")
+    lines = write_out(judged.mapInArrow(_hashes(min_chars), "doc_id bigint, text_key bigint, pos int, h1 bigint, h2 bigint"), "lines")
     frequent = write_out(
         lines.groupBy("h1", "h2", "doc_id")
         .agg(F.lit(1).alias("one"))
@@ -98,10 +100,10 @@ def drop_frequent_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5)
     dropped = (
         lines.join(frequent, ["h1", "h2"])
         .where(F.col("doc_id") != F.col("keeper"))
-        .groupBy("doc_id")
+        .groupBy("doc_id", "text_key")
         .agg(F.collect_set("pos").alias("gone"))
     )
-    joined = texts.join(dropped, "doc_id", "left").select("doc_id", "text", "gone", "others")
+    joined = texts.join(dropped, ["doc_id", "text_key"], "left").select("doc_id", "text", "gone", "others")
     long = T.LongType()
     schema = T.StructType([joined.schema["doc_id"], joined.schema["text"], T.StructField("n_lines", long), T.StructField("n_dropped", long), joined.schema["others"]])
     return joined.mapInArrow(_reassemble, schema)

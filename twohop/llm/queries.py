@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twohop.llm import decontaminate, embeddings, language, lines, packing, quality, range_coder, shingles, substring, toxicity
+from twohop.llm import (
+    decontaminate,
+    embeddings,
+    language,
+    licenses,
+    lines,
+    packing,
+    quality,
+    range_coder,
+    shingles,
+    substring,
+    toxicity,
+)
 
 
 #: Names of the public tokenizer files.
@@ -105,6 +117,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+    base, labels = F.concat_ws(",", "base_labels").alias("base_labels"), F.concat_ws(",", "labels").alias("labels")
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", base, labels, "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_toxicity": op2_toxicity,
@@ -116,4 +134,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
+    "op13_license_scan": op13_license_scan,
 }

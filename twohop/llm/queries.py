@@ -16,6 +16,7 @@ from twohop.llm import (
     packing,
     quality,
     range_coder,
+    runs,
     shingles,
     substring,
     toxicity,
@@ -117,6 +118,40 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_loops(docs: DataFrame) -> DataFrame:
+    """Documents whose crc32(doc_id) is divisible by 10 repeat a block of their words from some word on to the end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10).cast("bigint")
+    own = F.when(h % 10 == 0, F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda x: x != "")).alias("own")
+    split = docs.select("doc_id", "text", own, g.alias("g")).withColumn("n", F.size("own"))
+    a = F.col("g") % F.greatest(F.col("n"), F.lit(1))
+    rest = F.col("n") - a
+    looped = split.withColumns({"a": a.cast("int"), "p": (1 + F.floor(rest / (3 + F.col("g") % 8))).cast("int")})
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    block = F.flatten(F.array_repeat(F.slice("own", F.col("a") + 1, F.col("p")), times))
+    changed = F.concat(F.slice("own", F.lit(1), F.col("a")), F.slice(block, F.lit(1), F.col("n") - F.col("a")))
+    return looped.select("doc_id", F.when(F.col("n") > 0, F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.collapse_runs(_with_loops(_table(spark, sf_dir, "documents")))
+    ranked = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("a"), (-r["period"]).alias("b")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[x].cast("string") for x in ("start", "length", "period")]), F.lit("\n")))
+    best = found.select("doc_id", "n_words", "kept", F.array_max(ranked).alias("top"), F.array_join(lines, "").alias("lines"), F.size("runs").alias("n_runs"))
+    length, period = F.col("top.length"), -F.col("top.b")
+    return best.select(
+        "doc_id",
+        "n_words",
+        F.col("n_runs").cast("bigint").alias("n_runs"),
+        (-F.col("top.a")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.expr("(1000 * top.length) div (-top.b)").alias("exponent_milli"),
+        _sha256("lines").alias("runs_sha256"),
+        _sha256("kept").alias("collapsed_sha256"),
+    )
+
+
 def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(_table(spark, sf_dir, "documents"))
     base, labels = F.concat_ws(",", "base_labels").alias("base_labels"), F.concat_ws(",", "labels").alias("labels")
@@ -134,5 +169,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
+    "op12_run_detection": op12_run_detection,
     "op13_license_scan": op13_license_scan,
 }

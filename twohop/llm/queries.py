@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twohop.llm import (
+    alignment,
     decontaminate,
     embeddings,
     language,
@@ -24,7 +25,7 @@ from twohop.llm import (
 
 
 #: Names of the public tokenizer files.
-WORD_TOKENS, BYTE_TOKENS = "word_bpe_49k.json", "byte_bpe_50k.json"
+WORD_TOKENS, BYTE_TOKENS, PIECE_TOKENS = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -118,6 +119,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return alignment.align_tokenizers(docs, tokenizer_path(BYTE_TOKENS), tokenizer_path(PIECE_TOKENS))
+
+
 def _with_loops(docs: DataFrame) -> DataFrame:
     """Documents whose crc32(doc_id) is divisible by 10 repeat a block of their words from some word on to the end."""
     h = F.crc32(F.col("doc_id").cast("string"))
@@ -169,6 +175,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
+    "op11_token_alignment": op11_token_alignment,
     "op12_run_detection": op12_run_detection,
     "op13_license_scan": op13_license_scan,
 }

@@ -7,9 +7,13 @@ import random
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 import naive
 from twohop import Tuning, adamic_adar, common_neighbors, jaccard, link_scores
+from twohop.operators.graph import edge_bag
+from twohop.operators.pairs import shared_sums
+from twohop.plans import strongest
 from twohop.store import scratch, shared_folder
 
 MEASURES = {"common_neighbors": common_neighbors, "adamic_adar": adamic_adar, "jaccard": jaccard}
@@ -112,3 +116,43 @@ def test_shared_folder():
     assert shared_folder(session("local[2]")).split("/")[-1].startswith("twohop-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(session("yarn"))
+
+
+def test_arrays_cut_by_the_other_end(edges_of, monkeypatch):
+    """Nodes whose arrays are cut into many slices, and pairs that ask many slices of rows: the same pairs."""
+    monkeypatch.setattr(strongest, "REACH", 5)
+    rows = graph(7, False)
+    found = [tuple(r) for r in jaccard(edges_of(rows), 20, exact_orientation=False, tuning=Tuning(slice_rows=2, light_fan_out=9)).collect()]
+    everything = jaccard(edges_of(rows), exact_orientation=False).collect()
+    assert found == naive.best({(r["u"], r["v"]): r["score"] for r in everything}, 20)
+
+
+def test_wedges_fall_with_k(spark, monkeypatch):
+    """Communities of growing size: the smaller k, the higher the floor, and the fewer elements the lists hand out."""
+    made = []
+    partners = strongest.light_partners
+
+    def counted(lists, measure, floor, share=1):
+        found = partners(lists, measure, floor, share)
+        if share == 1 and floor:
+            made.append((floor.score, found.selectExpr("sum(size(partners)) AS n").first()["n"]))
+        return found
+
+    monkeypatch.setattr(strongest, "light_partners", counted)
+    monkeypatch.setattr(strongest, "SHARE", 1)  # the exact floor
+    members = spark.range(4, 40).selectExpr("id AS c", "explode(sequence(0L, id - 1)) AS i")
+    edges = members.join(members.withColumnRenamed("i", "j"), "c").where("(i + j) % 2 = 1").selectExpr("c * 1000 + i AS src", "c * 1000 + j AS dst")
+    for k in (10, 200, 2_000):
+        found = common_neighbors(edges, k).collect()
+        assert len(found) == k and found[0]["score"] == 20
+    floors, sizes = zip(*made, strict=True)
+    assert floors[0] > floors[1] > floors[2] and sizes[0] < sizes[1] < sizes[2]
+
+
+def test_sums_of_given_pairs(spark, edges_of):
+    rows = [(k, x) for k in range(40) for x in (1, 2, 3 + k % 5)] + [(0, 1)] * 2
+    bag = edge_bag(edges_of(rows))
+    asked = spark.createDataFrame([(1, 2, 40, 40), (1, 3, 40, 8), (4, 5, 8, 8)], "u long, v long, n_rows_u long, n_rows_v long")
+    for size in (3, 1000):
+        found = shared_sums(asked, bag, {"n": F.lit(1), "k": F.col("src")}, Tuning(slice_rows=size))
+        assert sorted(tuple(r) for r in found.collect()) == [(1, 2, 42, 780), (1, 3, 10, 140)]

@@ -1,4 +1,5 @@
 from twohop.functions.scores import (
+    WEIGHT_SCALE,
     adamic_adar_score,
     inverse_log_weight,
     jaccard_ratio,
@@ -8,6 +9,7 @@ from twohop.functions.scores import (
 )
 
 __all__ = [
+    "WEIGHT_SCALE",
     "adamic_adar_score",
     "inverse_log_weight",
     "jaccard_ratio",

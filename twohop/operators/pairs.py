@@ -43,6 +43,29 @@ def endpoint_degrees(edges: DataFrame, tuning: Tuning = DEFAULT) -> DataFrame:
     return non_edges(ordered.select("u", "v", F.col("degree_u").alias("degree")), edges)
 
 
+def shared_sums(pairs: DataFrame, rows: DataFrame, shares: dict[str, Column], tuning: Tuning = DEFAULT) -> DataFrame:
+    """``(u, v, <sums>)`` of given pairs over all sources that both ends share: ``shares`` are columns of the source's rows
+    ``(src, dst, copies, ...)``, each summed once for every wedge. Pairs have ``n_rows_u`` and ``n_rows_v``, the rows of both ends.
+
+    A pair starts from the rows of its end with fewer. Those are cut into slices by a hash of the source, and the pair asks every slice, so
+    that no join group holds more of them than a slice.
+    """
+    fewer = F.col("n_rows_u") <= F.col("n_rows_v")
+    near, far = F.when(fewer, F.col("u")).otherwise(F.col("v")), F.when(fewer, F.col("v")).otherwise(F.col("u"))
+    slices = F.greatest(F.ceil(F.least("n_rows_u", "n_rows_v") / F.lit(tuning.slice_rows)), F.lit(1))
+    asking = pairs.select(near.alias("near"), far.alias("far"), slices.alias("slices"))
+    asking = asking.select("near", "far", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)).alias("slice"))
+    ends = pairs.select(near.alias("near"), slices.alias("slices")).distinct()
+    own = rows.select(F.col("src").alias("k"), F.col("dst").alias("near"), F.col("copies").alias("near_copies"), *[s.alias(f"share_{n}") for n, s in shares.items()])
+    own = own.join(ends, "near").withColumn("slice", F.pmod(F.xxhash64("k"), F.col("slices"))).drop("slices")
+    other = rows.select(F.col("src").alias("k"), F.col("dst").alias("far"), F.col("copies").alias("far_copies"))
+    met = asking.join(own, ["near", "slice"]).join(other, ["k", "far"])
+    copies = F.col("near_copies") * F.col("far_copies")
+    return met.groupBy(F.least("near", "far").alias("u"), F.greatest("near", "far").alias("v")).agg(
+        *[F.sum(F.col(f"share_{name}") * copies).alias(name) for name in shares]
+    )
+
+
 def pair_degree_sum(ordered: DataFrame) -> DataFrame:
     """Ordered pairs with the degree of their first node, to ``(u, v, total)``."""
     return canonical_pairs(ordered).groupBy("u", "v").agg(F.sum("degree").alias("total"))

@@ -1,0 +1,58 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from twohop.llm.components import _large_star, _small_star, components
+
+SPLIT = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "8",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.fixture
+def split_hot_keys(spark):
+    before = {name: spark.conf.get(name) for name in SPLIT}
+    for name, value in SPLIT.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_hot_nodes_are_split(spark, split_hot_keys):
+    """A third of all links at one node."""
+    rows = spark.range(1, 60_000, numPartitions=8)
+    for star, links in (
+        (_large_star, rows.selectExpr("id AS high", "if(id % 3 = 0, 0, id - 1) AS low")),
+        (_small_star, rows.selectExpr("if(id % 3 = 0, 99999, id) AS high", "id - 1 AS low")),
+    ):
+        found = star(links)
+        found.collect()
+        assert "SortMergeJoin(skew=true)" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_against_brute_force(spark):
+    rng = random.Random(2)
+    links = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 140)] + [(200, 300 + i) for i in range(30)]
+    links += [(5, 5), (None, 7), (8, None)]
+    root = {}
+
+    def top(x):
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    linked = {x for a, b in links if None not in (a, b) and a != b for x in (a, b)}
+    for a, b in links:
+        if None not in (a, b):
+            x, y = top(a), top(b)
+            root[max(x, y)] = min(x, y)
+    found = components(spark.createDataFrame(links, "a bigint, b bigint"), "a", "b").collect()
+    assert sorted(tuple(r) for r in found) == sorted((x, top(x)) for x in linked)

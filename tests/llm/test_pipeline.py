@@ -36,7 +36,7 @@ def _stages(rows, items):
     rows = [(r[0], r[1]) for r in brute_lines(rows, 40, 5)]
     yield rows
     group = defaultdict(list)
-    for doc_id, _, first in brute_groups(rows):
+    for doc_id, _, first in brute_groups(rows, corpus_pipeline.COPY_WORDS, corpus_pipeline.COPY_PERCENT):
         group[first].append(doc_id)
     rows = [r for r in rows if r[0] in group]
     yield rows

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -19,8 +21,8 @@ def _set(text, size=4):
     return frozenset(tuple(words[i : i + size]) for i in range(max(len(words) - size + 1, 1)))
 
 
-def _brute(docs):
-    sets = [_set(t) for _, t in docs]
+def _brute(docs, size=4, percent=85):
+    sets = [_set(t, size) for _, t in docs]
     ids = [d for d, _ in docs]
     comp = dict(zip(ids, ids, strict=True))
 
@@ -32,7 +34,7 @@ def _brute(docs):
     for i, a in enumerate(sets):
         for j in range(i):
             b = sets[j]
-            if a and b and None not in (ids[i], ids[j]) and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and None not in (ids[i], ids[j]) and 100 * len(a & b) >= percent * len(a | b):
                 x, y = find(ids[i]), find(ids[j])
                 comp[max(x, y)] = min(x, y)
     return sorted([(d, len(s), None if d is None else find(d)) for d, s in zip(ids, sets, strict=True)], key=str)
@@ -146,3 +148,41 @@ def test_small_texts_of_frequent_tokens_only(docs_of):
     found = _run(docs_of, docs)
     assert found == _brute(docs)
     assert {r[2] for r in found} == {1}
+
+
+def _templates(n):
+    """Short texts of one form with two slots: all share tokens, none is similar to another."""
+    return [f"welcome to city{a} we hope that you enjoy month{b}" for a in range(n) for b in range(n)]
+
+
+def test_many_short_texts_of_one_form(docs_of, monkeypatch):
+    monkeypatch.setattr(shingles, "BLOCK_DOCS", 60)
+    texts = [*_templates(24), *(f"welcome to city{a} we hope that you enjoy month1 and all of its many long days" for a in range(3))]
+    texts += [t + " indeed" for t in texts[-2:]]
+    docs = list(enumerate(texts))
+    found = _run(docs_of, docs)
+    assert found == _brute(docs)
+    assert sum(r[0] != r[2] for r in found) == 2
+
+
+def test_a_block_is_compared_in_strips():
+    """35 bytes a cell would be 315 MB here."""
+    texts = _templates(55)[:3000]
+    n = len(texts)
+    table = pa.table({
+        "b1": [1] * n, "b2": [1] * n, "doc_id": range(n), "component": range(n), "text": texts, "second": pa.array([False] * n),
+    })
+    compare = shingles._compare_blocks(4, 85)
+    tracemalloc.start()
+    found = compare(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.num_rows == 0
+    assert peak < 60_000_000
+
+
+def test_sets_that_only_equal_ones_match_are_not_indexed():
+    for percent in (80, 85, 100):
+        for n in range(1, 40):
+            partners = any(100 * min(n, m) >= percent * max(n, m) for m in range(1, 80) if m != n) or 100 * (n - 1) >= percent * (n + 1)
+            assert partners == (100 * n >= percent * (n + 1))

@@ -1,10 +1,14 @@
-"""Connected components of a link table that no machine holds: alternating large and small stars."""
+"""Connected components of a link table that no machine holds: alternating large and small stars.
+
+A node may have a large share of all links. Its smallest neighbour is joined to them in a way that adaptive execution can split.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from twohop.operators.nodes import attach
 from twohop.store import write_out
 
 
@@ -12,14 +16,14 @@ def _large_star(links: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's smallest neighbour (or the node)."""
     both = links.union(links.select(F.col("low").alias("high"), F.col("high").alias("low"))).toDF("node", "other")
     least = both.groupBy("node").agg(F.min("other").alias("least")).withColumn("least", F.least("node", "least"))
-    met = both.where("other > node").join(least, "node")
+    met = attach(both.where("other > node"), "node", least, {"least": "least"})
     return met.select(F.col("other").alias("high"), F.col("least").alias("low")).where("high > low").distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them."""
     least = links.groupBy("high").agg(F.min("low").alias("least"))
-    met = links.join(least, "high").select(F.col("low").alias("high"), F.col("least").alias("low")).where("high > low")
+    met = attach(links, "high", least.withColumnRenamed("high", "node"), {"least": "least"}).select(F.col("low").alias("high"), F.col("least").alias("low")).where("high > low")
     return met.union(least.select("high", F.col("least").alias("low"))).distinct()
 
 

@@ -37,6 +37,7 @@ from twohop.llm.blocks import pack, unpack
 from twohop.llm.components import components
 from twohop.llm.tables import parts, texts_of, total_bytes
 from twohop.llm.words import NOT_SPACE, Words, mix, pieces
+from twohop.operators.nodes import attach
 from twohop.store import write_out
 
 SHINGLE = 4
@@ -44,7 +45,8 @@ PERCENT = 85
 RARE = 32
 GROUP_BYTES = 4 << 20
 BUCKET_TOKENS = 2_000_000
-BLOCK_TOKENS = 150_000
+#: What a block of documents that are compared with each other holds at most, about.
+BLOCK_TOKENS, BLOCK_DOCS = 150_000, 2_000
 _SINGLE = 12  # sets so small are indexed by single tokens of all classes only, their larger partners by single tokens as well
 
 
@@ -203,7 +205,9 @@ def _index(size: int, percent: int, bits: int, buckets: int):
             code = codes[group.back]
             own_ids, own_texts = group.docs["doc_id"].to_numpy(), group.docs["text"]
             unique = np.bincount(sets.rows[code == 0], minlength=sets.n_rows)
-            for row in np.flatnonzero((sets.counts > 0) & (unique <= most_missing(sets.counts, percent))):
+            # A set too small for a partner of another size can link with equal ones only, which are one class.
+            pairs_up = 100 * sets.counts >= percent * (sets.counts + 1)
+            for row in np.flatnonzero((sets.counts > 0) & pairs_up & (unique <= most_missing(sets.counts, percent))):
                 lo, hi = sets.first[row], sets.first[row + 1]
                 keys, kind = sets.keys[lo:hi], code[lo:hi]
                 found = signatures(int(unique[row]), keys[kind == 1], keys[kind == 2], percent)
@@ -246,21 +250,26 @@ def _verify(size: int, percent: int):
     return run
 
 
-def _shared(a: Sets, b: Sets, columns: int = 4096) -> np.ndarray:
-    """How many tokens every set of ``a`` shares with every set of ``b``."""
-    keys = np.intersect1d(np.unique(a.keys), np.unique(b.keys))
-    found = np.zeros((a.n_rows, b.n_rows), np.float32)
+def _shared(a: Sets, b: Sets, columns: int = 1024, strip: int = 512) -> Iterator[tuple[int, np.ndarray]]:
+    """How many tokens every set of ``a`` shares with every set of ``b``, by strips of sets of ``a`` with the first one's number."""
+    keys = np.intersect1d(a.keys, b.keys)
     places = [np.searchsorted(keys, x.keys) for x in (a, b)]
     held = [np.append(keys, 0)[p] == x.keys for p, x in zip(places, (a, b), strict=True)]
-    for lo in range(0, len(keys), columns):
-        sides = []
-        for x, place, ok in zip((a, b), places, held, strict=True):
-            own = ok & (place >= lo) & (place < lo + columns)
-            side = np.zeros((x.n_rows, min(columns, len(keys) - lo)), np.float32)
-            side[x.rows[own], place[own] - lo] = 1
-            sides.append(side)
-        found += sides[0] @ sides[1].T
-    return found.astype(np.int64)
+
+    def side(n: int, first: int, low: int, rows: np.ndarray, place: np.ndarray) -> np.ndarray:
+        own = (place >= low) & (place < low + columns)
+        out = np.zeros((n, min(columns, len(keys) - low)), np.float32)
+        out[rows[own] - first, place[own] - low] = 1
+        return out
+
+    for first in range(0, a.n_rows, strip):
+        n = min(strip, a.n_rows - first)
+        lo, hi = a.first[first], a.first[first + n]
+        rows, place = a.rows[lo:hi][held[0][lo:hi]], places[0][lo:hi][held[0][lo:hi]]
+        found = np.zeros((n, b.n_rows), np.float32)
+        for low in np.unique(place // columns) * columns:  # only keys that the strip has
+            found += side(n, first, low, rows, place) @ side(b.n_rows, 0, low, b.rows[held[1]], places[1][held[1]]).T
+        yield first, found.astype(np.int32)
 
 
 def _compare_blocks(size: int, percent: int):
@@ -275,9 +284,7 @@ def _compare_blocks(size: int, percent: int):
         sets = [Sets(s["text"], size) for s in sides]
         ids = [s["doc_id"].to_numpy() for s in sides]
         component = [s["component"].to_numpy() for s in sides]
-        shared = _shared(*sets)
-        total = sets[0].counts[:, None] + sets[1].counts[None, :] - shared
-        linked = (shared > 0) & (100 * shared >= percent * total) & (component[0][:, None] != component[1][None, :])
+        sizes = [x.counts.astype(np.int32) for x in sets]
         root: dict[int, int] = {}
 
         def top(x: int) -> int:
@@ -286,11 +293,16 @@ def _compare_blocks(size: int, percent: int):
             return x
 
         found = []
-        for i, j in zip(*(x.tolist() for x in np.nonzero(linked)), strict=True):
-            x, y = top(int(component[0][i])), top(int(component[1][j]))
-            if x != y:
-                root[max(x, y)] = min(x, y)
-                found.append((int(ids[0][i]), int(ids[1][j])))
+        for first, shared in _shared(*sets):
+            own = slice(first, first + len(shared))
+            # 100 shared >= percent (both - shared), with each side below 2^31 for sets of up to ten million tokens.
+            linked = (shared > 0) & ((100 + percent) * shared >= percent * (sizes[0][own, None] + sizes[1][None, :]))
+            linked &= component[0][own, None] != component[1][None, :]
+            for i, j in zip(*(x.tolist() for x in np.nonzero(linked)), strict=True):
+                x, y = top(int(component[0][first + i])), top(int(component[1][j]))
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    found.append((int(ids[0][first + i]), int(ids[1][j])))
         return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
     return run
@@ -299,7 +311,8 @@ def _compare_blocks(size: int, percent: int):
 def _star_links(active: DataFrame, entries: DataFrame, size: int, percent: int) -> DataFrame:
     """Links between the first document of every entry and the others."""
     centres = entries.groupBy("entry").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("held")).where("held > 1")
-    met = entries.join(centres, "entry").where("doc_id > a")
+    # Hot entries are split, here and below: attach() and written tables leave both sides of a join straight from a shuffle.
+    met = attach(entries, "entry", centres.withColumnRenamed("entry", "node"), {"a": "a"}).where("doc_id > a")
     pairs = write_out(met.select("a", F.col("doc_id").alias("b")).distinct(), "pairs")
     texts = active.select("doc_id", "text")
     rows = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a").select("a", "b", "text_a", "text_b")
@@ -309,19 +322,23 @@ def _star_links(active: DataFrame, entries: DataFrame, size: int, percent: int)
 def _block_links(active: DataFrame, entries: DataFrame, links: DataFrame, size: int, percent: int) -> DataFrame:
     """Links that the stars have missed: between documents of different components that share an entry.
 
-    Documents are put into blocks of about ``BLOCK_TOKENS`` tokens by the largest of their open entries, large components apart. Blocks
+    Documents are put into blocks of about ``BLOCK_TOKENS`` tokens or ``BLOCK_DOCS`` documents by the largest of their open entries, large components apart. Blocks
     whose documents share an entry are compared as matrices, unless they hold one and the same component; no pair is listed.
     """
     labels = components(links, "a", "b").toDF("doc_id", "component")
     now = entries.join(labels, "doc_id", "left").select("doc_id", "n", "entry", F.coalesce("component", "doc_id").alias("component"))
     held = now.groupBy("entry").agg(F.count(F.lit(1)).alias("held"), F.min("component").alias("lo"), F.max("component").alias("hi"))
     mixed = held.where("lo < hi").select("entry", "held")
-    opened = write_out(now.join(mixed, "entry"), "open")
+    opened = attach(now, "entry", mixed.withColumnRenamed("entry", "node"), {"held": "held"}).where("held is not null")
+    opened = write_out(opened, "open")
     most = F.max(F.struct("held", "entry"))["entry"].alias("home")
     homes = opened.groupBy("doc_id").agg(most, F.max("n").alias("n"), F.min("component").alias("component"))
-    by_component = homes.groupBy("home", "component").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).alias("own_blocks"), F.sum("n").alias("own_n"))
-    small = F.sum(F.when(F.col("own_blocks") == 1, F.col("own_n")).otherwise(0))
-    by_home = by_component.groupBy("home").agg(F.ceil(small / BLOCK_TOKENS).alias("shared_blocks"))
+    # A document's part of a block: by its tokens, or as one of so many documents, whichever is more.
+    weight = F.greatest(F.col("n") / BLOCK_TOKENS, F.lit(1 / BLOCK_DOCS))
+    by_component = homes.groupBy("home", "component").agg(F.ceil(F.sum(weight)).alias("own_blocks"), F.sum(weight).alias("own_part"))
+    by_component = write_out(by_component, "block-components")
+    small = F.sum(F.when(F.col("own_blocks") == 1, F.col("own_part")).otherwise(0.0))
+    by_home = write_out(by_component.groupBy("home").agg(F.greatest(F.ceil(small), F.lit(1)).alias("shared_blocks")), "block-homes")
     place = F.when(
         F.col("own_blocks") > 1, F.xxhash64("home", "component", F.pmod(F.xxhash64("doc_id"), F.col("own_blocks")))
     ).otherwise(F.xxhash64("home", F.lit("shared"), F.pmod(F.xxhash64("component"), F.col("shared_blocks"))))
@@ -355,7 +372,7 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
     texts = texts_of(docs)
     sets = write_out(texts.mapInArrow(_digests(size), "doc_id bigint, n bigint, k1 bigint, k2 bigint"), "sets")
     held = sets.where("n > 0 and doc_id is not null")
-    classes = held.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"))
+    classes = write_out(held.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep")), "representatives")
     members = write_out(held.join(classes, ["n", "k1", "k2"]).select("doc_id", "n", "rep"), "classes")
 
     amount = total_bytes(texts)

@@ -4,6 +4,7 @@ from twohop.sources.edge_list import (
     parse_edges,
     read_edge_list,
     read_lines,
+    split_lines,
 )
 from twohop.sources.edge_table import edge_table, read_edge_table
 
@@ -15,4 +16,5 @@ __all__ = [
     "read_edge_list",
     "read_edge_table",
     "read_lines",
+    "split_lines",
 ]

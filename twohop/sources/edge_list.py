@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from twohop.store import write_out
+
 # Fixed values of the input format: the blanks that separate ids, and the comment mark.
 BLANKS = " \t\x0b\f\r"
 SEPARATOR = r"[ \t\x0B\f\r]+"
@@ -77,6 +79,16 @@ def bad_rows(lines: DataFrame, comment: str = "anywhere") -> DataFrame:
     return parsed.where(F.col("reason").isNotNull()).select("value", "reason")
 
 
+def split_lines(lines: DataFrame, comment: str = "anywhere") -> tuple[DataFrame, DataFrame]:
+    """``edges(src, dst)`` and the malformed lines ``(value, reason)``, from one scan: lines are parsed once, written in one folder for good
+    and one for bad ones, and each result reads its own."""
+    parsed = _with_ids(drop_comments(lines, comment))
+    bad = F.col("reason").isNotNull()
+    # A good line is its ids; its text is not kept.
+    written = write_out(parsed.select("src", "dst", F.when(bad, F.col("value")).alias("value"), "reason", bad.alias("bad")), "parsed", ("bad",))
+    return written.where("not bad").select("src", "dst"), written.where("bad").select("value", "reason")
+
+
 def read_edge_list(
     spark: SparkSession, path: str | list[str], comment: str = "anywhere", mode: str = "failfast"
 ) -> DataFrame:

@@ -27,6 +27,7 @@ from twohop.operators import (
     wedges,
     with_label,
 )
+from twohop.operators.wedges import hub_sides, linked_pairs, source_rows
 
 SALT = [(i % 7, i % 11) for i in range(200)]
 
@@ -46,6 +47,20 @@ def test_wedges_at_any_slice_size(edges_of, keep, slice_rows):
         assert found.agg(F.sum("copies")).first()[0] == 2589
 
 
+def test_slices_of_a_hub_meet_once(edges_of):
+    n, size = 4_000, 250
+    rows = source_rows(edge_bag(edges_of([(0, i) for i in range(1, n + 1)])), ["fan_out"])
+    left, right = hub_sides(rows, size, [])
+    key = ["k", "slice_a", "slice_b"]
+    held = left.groupBy(key).agg(F.count("x").alias("a")).join(right.groupBy(key).agg(F.count("x").alias("b")), key)
+    groups, compared, largest = held.agg(F.count("a"), F.sum(F.col("a") * F.col("b")), F.max(F.greatest("a", "b"))).first()
+    slices = n // size
+    assert groups == slices * (slices + 1) // 2 and largest < 2 * size
+    # n * (n - 1) / 2 pairs, and within a slice both ways round. With both sides in both roles it was 2 n * n.
+    assert compared < 0.6 * n * n
+    assert linked_pairs(rows, size, [], []).count() == n * (n - 1) // 2
+
+
 def test_wedge_columns(edges_of):
     edges = edges_of(SALT)
     degree = Counter(k for k, _ in SALT)

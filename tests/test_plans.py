@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from twohop import adamic_adar, common_neighbors, jaccard, link_scores
+from twohop import Tuning, adamic_adar, common_neighbors, jaccard, link_scores
 from twohop.operators import attach, edge_bag, endpoint_degrees, source_nodes, top_k, two_hop_pairs
 from twohop.sinks import report_lines
 from twohop.sources import bad_rows, parse_edges
@@ -89,3 +89,10 @@ def test_pairs_are_turned_after_adding_up(shuffled, edge_file):
     for found in (two_hop_pairs(edge_file, "ne"), endpoint_degrees(edge_file)):
         plan = executed(found).split("Initial Plan")[0]
         assert plan.index("Generate inline") < plan.index("functions=[sum(copies" if "sum(copies" in plan else "functions=[max(")
+
+
+def test_a_graph_without_hubs_pays_for_none(shuffled, edge_file):
+    """The join of the hubs' slices is left out at run time; with hubs both joins are there."""
+    few = executed(two_hop_pairs(edge_file)).split("Initial Plan")[0]
+    sliced = executed(two_hop_pairs(edge_file, tuning=Tuning(slice_rows=5))).split("Initial Plan")[0]
+    assert "Generate explode" not in few and sliced.count("Generate explode") == 2

@@ -1,9 +1,10 @@
 """The wedge self-join: all pairs of targets that one source links.
 
-A source with n targets yields n(n-1)/2 pairs. Its rows are cut into slices by a hash of the target,
-and each two slices (and each slice with itself) form one join group. The groups of a hub are
-spread over all tasks and none grows with the hub; a source below ``slice_rows`` is one group.
-Both sides of the join are the same rows under the same key, so one shuffle serves both.
+A source with n targets yields n(n-1)/2 pairs. One with up to ``slice_rows`` targets is one join group, and both
+sides of that join are the same rows under the same key, so one shuffle serves both. The rows of a larger source (a
+hub) are cut into slices by a hash of the target, and each two slices (and each slice with itself) form one
+group. The groups of a hub are spread over all tasks and none grows with the hub. A row comes into a group as its
+left or its right side, so two slices meet once: only within a slice are two rows compared both ways round.
 """
 
 from __future__ import annotations
@@ -16,13 +17,6 @@ from twohop.operators.graph import edge_bag
 from twohop.operators.nodes import attach, source_nodes
 from twohop.tuning import DEFAULT, Tuning
 
-# A group is named by its two slice numbers in one integer.
-_SLICE_SPAN = 2**31
-
-
-def _group_of(first: Column, second: Column) -> Column:
-    return F.least(first, second) * F.lit(_SLICE_SPAN) + F.greatest(first, second)
-
 
 def source_rows(bag: DataFrame, names: list[str], nodes: DataFrame | None = None) -> DataFrame:
     """Bag rows with columns of their source: any of ``degree``, ``weight``, ``fan_out``, ``peak``; ``nodes``: them, if at hand."""
@@ -37,44 +31,34 @@ def linking_rows(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("fan_out") > 1)
 
 
-def sliced_rows(rows: DataFrame, size: str, slice_rows: int, keep: list[str]) -> DataFrame:
-    """``rows`` once per join group of their source; ``size`` is the column with the rows per source."""
-    slices = F.ceil(F.col(size) / F.lit(slice_rows))
-    cut = rows.select("*", slices.alias("_slices")).select(
-        "*", F.pmod(F.xxhash64("dst"), F.col("_slices")).alias("slice")
-    )
-    met = cut.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_slices") - 1)).alias("_other"))
-    return met.select(
-        F.col("src").alias("k"),
-        _group_of(F.col("slice"), F.col("_other")).alias("cell"),
-        "slice",
-        F.col("dst").alias("x"),
-        "copies",
-        *keep,
-    )
+def hub_sides(rows: DataFrame, slice_rows: int, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The two sides of the join groups of hubs: ``rows`` with ``fan_out``, once per group of their source and side.
 
+    The group of slices i <= j has slice i on its left and slice j on its right, so each two slices have one group.
+    """
+    zero, slices = F.lit(0).cast("bigint"), F.ceil(F.col("fan_out") / F.lit(slice_rows))
+    cut = rows.select("*", slices.alias("_slices")).select("*", F.pmod(F.xxhash64("dst"), F.col("_slices")).alias("slice"))
 
-def join_cells(cells: DataFrame, shared: list[str], ends: list[str]) -> DataFrame:
-    """``(k, u, v, copies)`` with u < v, each pair of targets once per source.
+    def side(own: str, other: str, first: Column, last: Column) -> DataFrame:
+        met = cut.select("*", F.explode(F.sequence(first, last)).alias(other))
+        return met.select(F.col("src").alias("k"), F.col("slice").alias(own), other, F.col("dst").alias("x"), "copies", *columns)
 
-    ``shared`` are columns that depend on the source only; they join the key, which keeps both sides
-    of the join the same. ``ends`` are columns of the target, returned as ``<name>_u``, ``<name>_v``.
-    """
-    a, b = cells.alias("a"), cells.alias("b")
-    ax, bx = F.col("a.x"), F.col("b.x")
+    left = side("slice_a", "slice_b", F.col("slice"), F.col("_slices") - 1)
+    return left, side("slice_b", "slice_a", zero, F.col("slice"))
+
+
+def _met(left: DataFrame, right: DataFrame, key: list[str], test: Column, shared: list[str], ends: list[str]) -> DataFrame:
+    """Rows of ``left`` (as ``a``) and ``right`` (``b``) with the same key for which ``test`` holds, as ``(k, u, v, copies)`` with u < v."""
     same_key = F.lit(True)
-    for name in ["k", "cell", *shared]:
+    for name in key:
         same_key = same_key & (F.col(f"a.{name}") == F.col(f"b.{name}"))
-    slice_a, slice_b = F.col("a.slice"), F.col("b.slice")
-    within = (F.col("a.cell") == _group_of(slice_a, slice_a)) & (slice_a == slice_b) & (ax < bx)
-    met = a.join(b, same_key & ((slice_a < slice_b) | within))
-    ordered = ax < bx
+    ax, bx = F.col("a.x"), F.col("b.x")
     picked = []
     for name in ends:
-        left, right = F.col(f"a.{name}"), F.col(f"b.{name}")
-        picked.append(F.when(ordered, left).otherwise(right).alias(f"{name}_u"))
-        picked.append(F.when(ordered, right).otherwise(left).alias(f"{name}_v"))
-    return met.select(
+        mine, other = F.col(f"a.{name}"), F.col(f"b.{name}")
+        picked.append(F.when(ax < bx, mine).otherwise(other).alias(f"{name}_u"))
+        picked.append(F.when(ax < bx, other).otherwise(mine).alias(f"{name}_v"))
+    return left.alias("a").join(right.alias("b"), same_key & test).select(
         F.col("a.k").alias("k"),
         F.least(ax, bx).alias("u"),
         F.greatest(ax, bx).alias("v"),
@@ -84,6 +68,24 @@ def join_cells(cells: DataFrame, shared: list[str], ends: list[str]) -> DataFram
     )
 
 
+def linked_pairs(rows: DataFrame, slice_rows: int, shared: list[str], ends: list[str]) -> DataFrame:
+    """``(k, u, v, copies)`` with u < v, each pair of targets once per source; ``rows`` have ``fan_out``.
+
+    ``shared`` are columns that depend on the source only; they join the key, which keeps both sides
+    of the join the same. ``ends`` are columns of the target, returned as ``<name>_u``, ``<name>_v``.
+    """
+    ordered = F.col("a.x") < F.col("b.x")
+    # The fan-out is in the key, so that the rows are dealt out anew: adaptive execution may then split the join before.
+    key = ["k", *dict.fromkeys(["fan_out", *shared])]
+    few = rows.where(F.col("fan_out") <= slice_rows).select(
+        F.col("src").alias("k"), F.col("dst").alias("x"), "copies", *key[1:], *ends
+    )
+    small = _met(few, few, key, ordered, shared, ends)
+    left, right = hub_sides(rows.where(F.col("fan_out") > slice_rows), slice_rows, [*shared, *ends])
+    within = F.col("a.slice_a") == F.col("b.slice_b")
+    return small.union(_met(left, right, ["k", "slice_a", "slice_b"], ~within | ordered, shared, ends))
+
+
 def both_orders(pairs: DataFrame) -> DataFrame:
     """Every row also with u and v exchanged. Add up first: that halves what is shuffled."""
     flip = {"u": "v", "v": "u", "degree_u": "degree_v", "degree_v": "degree_u"}
@@ -115,8 +117,7 @@ def wedges(
     if end_degrees:
         linking = attach(linking, "dst", source_nodes(bag), {"degree": "end_degree"})
         ends.append("end_degree")
-    cells = sliced_rows(linking, "fan_out", tuning.slice_rows, [*shared, *ends])
-    found = join_cells(cells, shared, ends)
+    found = linked_pairs(linking, tuning.slice_rows, shared, ends)
     if end_degrees:
         found = found.withColumnsRenamed({"end_degree_u": "degree_u", "end_degree_v": "degree_v"})
     if keep == "lt":

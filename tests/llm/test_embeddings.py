@@ -58,6 +58,59 @@ def test_against_brute_force(spark, monkeypatch, chunk):
     assert found[1007]["n_links"] > 0 and all(found[1000 + i]["n_links"] == 0 for i in range(6))
 
 
+def test_copies_are_compared_once(spark, monkeypatch):
+    """50,000 equal vectors of one label: each links with all others, and no block sees more than the classes."""
+    seen = spark.sparkContext.accumulator(0)
+    block = embeddings._block
+
+    def counting(*args):
+        run = block(*args)
+
+        def wrapped(table):
+            seen.add(table.num_rows)
+            return run(table)
+
+        return wrapped
+
+    monkeypatch.setattr(embeddings, "_block", counting)
+    far, near = [1.0, 0.0, 0.0], [1.0, 0.3, 0.0]
+    many = spark.range(50_000).selectExpr("id + 10 as vec_id", "array(cast(0.5 as float), cast(-2 as float), cast(1 as float)) as embedding", "1 as label")
+    few = spark.createDataFrame([(1, far, 1), (2, near, 1), (3, near, 1), (4, near, 2)], "vec_id bigint, embedding array<float>, label int")
+    found = near_duplicates(many.union(few))
+    total = found.groupBy("n_links", "component_id").count().collect()
+    assert sorted(tuple(r) for r in total) == [(0, 4, 1), (2, 1, 3), (49_999, 10, 50_000)]
+    assert 0 < seen.value < 100
+
+
+@pytest.mark.parametrize("precision", ["float", "double"])
+def test_recall_of_planted_neighbours(spark, precision):
+    """Neighbours just above the threshold among 3,000 vectors, with an index that visits a part of its cells."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3_000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    away = rng.normal(size=(1_000, 32))
+    away -= (away * x[:1_000]).sum(axis=1, keepdims=True) * x[:1_000]
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    cosine = rng.uniform(0.931, 0.98, size=(1_000, 1))
+    every = np.concatenate([x, cosine * x[:1_000] + np.sqrt(1 - cosine**2) * away])
+    frame = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(every)], f"vec_id bigint, embedding array<{precision}>, label int")
+    found = {r["vec_id"]: r for r in near_duplicates(frame).collect()}
+    hits = [found[3_000 + i]["component_id"] == found[i]["component_id"] for i in range(1_000)]
+    assert np.mean(hits) >= 0.95
+    given = every.astype(np.float32).astype(float) if precision == "float" else every
+    given /= np.linalg.norm(given, axis=1, keepdims=True)
+    n = (given @ given.T >= 0.93).sum(axis=1) - 1
+    assert all(found[i]["n_links"] <= n[i] for i in found) and sum(r["n_links"] for r in found.values()) >= 0.95 * n.sum()
+
+
+def test_codebooks_grow_with_the_table():
+    """No limit of 256 words: the index of a large label is fitted and probed in strips."""
+    units = unit_vectors(np.random.default_rng(1).normal(size=(9_000, 8)), 8)
+    index = MultiIndex(units, 600, 0.93)
+    assert len(index.first) == len(index.second) == 600 and index.visits < index.cells
+    assert len(np.unique(index.probes(units[:50])[0])) == index.visits
+
+
 def test_rows_with_one_id_and_without(spark):
     v = [1.0, 2.0]
     rows = [(1, v, 0, "", ""), (1, v, 0, "", ""), (2, v, 0, "", ""), (None, v, 0, "", ""), (3, [1.0], 0, "", ""), (4, [2.0], 0, "", "")]

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from twohop.llm.language import Parser, identify, keep_identified, language_samples, symbols
 from twohop.llm.quality import isotonic, score_quality
 from twohop.llm.statistics import NAMES, statistics
-from twohop.llm.toxicity import CATEGORIES, score_toxicity
+from twohop.llm import toxicity
+from twohop.llm.toxicity import CATEGORIES, FOLDS, RIDGE, Chain, score_toxicity
 from twohop.llm.words import text_buffer
 
 ODD = [None, "", " \n", "123 ++", "é", "中文", "x" * 3000]
@@ -152,5 +153,47 @@ def test_toxicity(spark, docs_of):
     assert all((by_id[i]["toxic"] >= 0.5) == (i % 4 == 0) for i in range(0, 400, 5))
     assert by_id[2000]["toxic"] >= 0.5
     assert all((by_id[i]["low_quality"] >= 0.5) == (i % 7 == 0) for i in range(0, 400, 5))
-    severe = [r["severe"] for r in found if r["toxic"] >= 0.5]
-    assert max(severe) > 0.5 > min(severe)
+    # A dozen learnt rows carry both labels: the ridge keeps their probabilities low, but above all others.
+    both, others = ([by_id[i]["toxic_low_quality"] for i in range(0, 400, 5) if (i % 28 == 0) == own] for own in (True, False))
+    assert min(both) > max(others)
+
+
+def test_chain_against_one_fit_in_memory(spark):
+    """Sums by partition give the weights of a plain gradient descent over all rows at once."""
+    rng = np.random.default_rng(3)
+    x = np.hstack([rng.random((90, 3)) < 0.5, np.ones((90, 1))]).astype(np.float32)
+    toxic, low = (x[:, 0] + rng.random(90) > 0.9).astype(int), (x[:, 1] + rng.random(90) > 0.9).astype(int)
+    folds = rng.integers(0, FOLDS, 90)
+    rows = [(x[i].tobytes(), int(low[i]), int(toxic[i]), int(low[i] * toxic[i]), int(folds[i])) for i in range(90)]
+    frame = spark.createDataFrame(rows, "x binary, low_quality int, toxic int, toxic_low_quality int, fold int").repartition(5)
+    chain = Chain(frame, 4)
+
+    def fit(own, y):
+        w = np.zeros(own.shape[1])
+        for _ in range(6000):
+            w -= 0.02 * (own.T @ (1 / (1 + np.exp(-own @ w)) - y) + RIDGE * w)
+        return w
+
+    own = x.astype(float)
+    for j, y in enumerate((low, toxic, low * toxic)):
+        assert np.allclose(chain.weights[j], fit(own, y), atol=1e-4)
+        held = np.zeros(90)
+        for f in range(FOLDS):
+            w = fit(own[folds != f], y[folds != f])
+            held[folds == f] = 1 / (1 + np.exp(-own[folds == f] @ w))
+        own = np.hstack([own, held[:, None]])
+
+
+def test_many_rows_of_one_labelled_document(spark, docs_of, monkeypatch):
+    """What is learnt from is one row a document, however many there are."""
+    fitted = []
+
+    class Counting(Chain):
+        def __init__(self, rows, width):
+            fitted.append(rows.count())
+            super().__init__(rows, width)
+
+    monkeypatch.setattr(toxicity, "Chain", Counting)
+    docs = [(i, f"word{i % 9} " + ("grub" if i % 2 else "fine")) for i in range(40)] + [(1, f"grub {i}") for i in range(3000)]
+    found = score_toxicity(docs_of(docs), _labelled(spark, [(i, 1, i % 2) for i in range(40)]), F.lit(True))
+    assert found.count() == 3040 and fitted == [40]

@@ -69,7 +69,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("toxic") >= 0.5).cast("int").alias("predicted"),
         (F.col("toxic") >= 0.5).alias("toxic"),
         F.col("low_quality").alias("p_low_quality"),
-        F.col("severe").alias("p_severe"),
+        F.col("toxic_low_quality").alias("p_toxic_low_quality"),
     )
 
 

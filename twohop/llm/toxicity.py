@@ -6,33 +6,44 @@ models did not see (out of fold); what it gets later are predictions of the mode
 
 The features are whole words and their first four to six bytes (inflected words share them), those that tell best
 between the labelled rows of a category. Fitting takes a bounded sample of labelled rows: ``SAMPLE_TOXIC`` toxic and ``SAMPLE_CLEAN`` others,
-in the order of a hash of their ids. Counting and prediction run on Spark over whole texts, which are never shuffled.
+in the order of a hash of their ids. Gradients and curvatures of Newton's steps are summed by partition in Spark, for the model of every
+fold and the one of all rows in one pass; the driver holds sums and weights, never rows. Counting and prediction run over whole texts,
+which are never shuffled.
 
-Categories: ``low_quality`` (label), ``toxic`` (label), ``severe``: toxic and among the toxic rows of the sample with the
-larger share of words that tell for toxicity. The labels know no finer categories, so the last is a weak label.
+Categories: ``low_quality`` (label), ``toxic`` (label), ``toxic_low_quality`` (both labels of one document). The labels know no finer ones.
 
 Defined results: null and empty text has no words; labels that are null are not used, of several labels of a document the
-largest toxicity and smallest quality count; without toxic labels every probability is 0.
+largest toxicity and smallest quality count; of several rows of one ``doc_id`` the text that sorts last is learnt from, each row is
+scored; without toxic labels every probability is 0.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twohop.llm.tables import texts_of
 from twohop.llm.words import _CODES, _FOLD, ALNUM, Words, mix, pieces
+from twohop.store import write_out
 
-CATEGORIES = ("low_quality", "toxic", "severe")
-SAMPLE_TOXIC = 4_000
-SAMPLE_CLEAN = 8_000
-TERMS = 128
+CATEGORIES = ("low_quality", "toxic", "toxic_low_quality")
+SAMPLE_TOXIC = 6_000
+SAMPLE_CLEAN = 12_000
+TERMS = 400
 FOLDS = 4
 RIDGE = 1.0
+ROUNDS = 12
+#: Tasks that read the bounded sample.
+_TASKS = 12
+
+_LABELS = "doc_id bigint, toxic int, low_quality int"
+_SUMS = "model int, task int, sums binary"
 PREFIXES = (4, 5, 6)
 
 _STEPS = np.array([pow(0x9E3779B97F4A7C13, j, 1 << 64) for j in range(max(PREFIXES))], np.uint64)
@@ -96,42 +107,80 @@ def _sample_features(terms: np.ndarray, odds: np.ndarray):
     return run
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 10) -> np.ndarray:
-    """Ridge logistic regression by Newton's steps."""
-    weights = np.zeros(x.shape[1])
-    for _ in range(rounds):
-        p = _sigmoid(x @ weights)
-        slope = x.T @ (p - y) + RIDGE * weights
-        bend = (x * (p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(x.shape[1])
-        step = np.linalg.solve(bend, slope)
-        weights -= step
-        if np.abs(step).max() < 1e-6:
-            break
-    return weights
-
-
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def _extended(x: np.ndarray, weights: list[np.ndarray]) -> np.ndarray:
+    """The features and the probabilities of the categories before; ``weights``: a row for each vector, or one for all."""
+    for w in weights:
+        x = np.hstack([x, _sigmoid(np.einsum("ij,ij->i", x, np.broadcast_to(w, x.shape)))[:, None]])
+    return x
+
+
+def _newton_sums(before: list[np.ndarray], now: np.ndarray, category: int):
+    """Slope and curvature of every model, over the rows that it learns: row f of ``now`` is the model without fold f, the last one learns all.
+
+    The categories before are predicted by the models that did not see the row.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = now.shape[1]
+        bend, slope = np.zeros((len(now), width, width)), np.zeros((len(now), width))
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                fold = part.column("fold").to_numpy()
+                x = np.stack([np.frombuffer(v.as_buffer(), np.float32) for v in part.column("x")]).astype(np.float64)
+                x = _extended(x, [w[fold] for w in before])
+                y = part.column(CATEGORIES[category]).to_numpy()
+                for model, weights in enumerate(now):
+                    own = fold != model
+                    mine = x[own]
+                    p = _sigmoid(mine @ weights)
+                    slope[model] += (p - y[own]) @ mine
+                    bend[model] += (mine * (p * (1 - p))[:, None]).T @ mine
+        task = TaskContext.get().partitionId()
+        for model in range(len(now)):
+            sums = np.vstack([bend[model], slope[model]]).tobytes()
+            yield pa.RecordBatch.from_pydict({"model": pa.array([model], pa.int32()), "task": pa.array([task], pa.int32()), "sums": pa.array([sums], pa.binary())})
+
+    return run
+
+
+def _add(table: pa.Table) -> pa.Table:
+    table = table.sort_by("task")
+    total = sum(np.frombuffer(x.as_buffer(), np.float64) for x in table["sums"])
+    return pa.table({"model": table["model"][:1], "task": table["task"][:1], "sums": pa.array([total.tobytes()], pa.binary())})
+
+
 class Chain:
     """Fitted models, in order; ``weights[j]`` takes the features and the probabilities of categories 0 to j - 1."""
 
-    def __init__(self, x: np.ndarray, labels: np.ndarray, folds: np.ndarray):
-        self.weights: list[np.ndarray] = []
-        unseen = np.zeros((len(x), 0))
-        for y in labels.T:
-            own = np.hstack([x, unseen])
-            held = np.zeros(len(x))
-            for f in np.unique(folds):
-                held[folds == f] = _sigmoid(own[folds == f] @ _logistic(own[folds != f], y[folds != f]))
-            self.weights.append(_logistic(own, y))
-            unseen = np.hstack([unseen, held[:, None]])
+    def __init__(self, rows: DataFrame, width: int):
+        """``rows(fold, x, <categories>)``: ``width`` features as 32-bit bytes, labels 0 and 1, ``fold`` from 0 to ``FOLDS`` - 1."""
+        self.by_fold: list[np.ndarray] = []
+        for category in range(len(CATEGORIES)):
+            self.by_fold.append(self._fit(rows, width + category, category))
+        self.weights = [w[-1] for w in self.by_fold]
+
+    def _fit(self, rows: DataFrame, width: int, category: int) -> np.ndarray:
+        """Ridge logistic regression by Newton's steps; the last row is the model of all rows."""
+        now = np.zeros((FOLDS + 1, width))
+        for _ in range(ROUNDS):
+            parts = rows.mapInArrow(_newton_sums(self.by_fold, now, category), _SUMS)
+            largest = 0.0
+            for r in parts.groupBy("model").applyInArrow(_add, _SUMS).select("model", "sums").collect():
+                sums = np.frombuffer(r["sums"], np.float64).reshape(width + 1, width)
+                step = np.linalg.solve(sums[:-1] + RIDGE * np.eye(width), sums[-1] + RIDGE * now[r["model"]])
+                now[r["model"]] -= step
+                largest = max(largest, np.abs(step).max())
+            if largest < 1e-4:  # the next step would be of the order of its square
+                break
+        return now
 
     def predict(self, x: np.ndarray) -> np.ndarray:
-        for weights in self.weights:
-            x = np.hstack([x, _sigmoid(x @ weights)[:, None]])
-        return x[:, -len(self.weights) :]
+        return _extended(x, self.weights)[:, -len(self.weights) :]
 
 
 def _predict(chain: Chain, terms: np.ndarray, odds: np.ndarray):
@@ -144,12 +193,16 @@ def _predict(chain: Chain, terms: np.ndarray, odds: np.ndarray):
 
 
 def _telling(counted: DataFrame, positive: str, n_positive: int, n: int, most: int) -> list[tuple[int, float]]:
-    """The terms with the largest chi-square of presence against the category that tell for it, with their log odds."""
+    """The terms with the largest chi-square of presence against the category that tell for it, with their log odds.
+
+    Among m terms without any meaning, at most one is expected to reach a chi-square of 2 ln m; weaker ones are noise and left out.
+    """
+    chance = 2 * math.log(max(counted.count(), 1))
     a, b = F.col(positive).cast("double"), (F.col("n") - F.col(positive)).cast("double")
     c, d = n_positive - a, (n - n_positive) - b
     square = n * (a * d - b * c) * (a * d - b * c) / ((a + b) * (c + d) * max(n_positive, 1) * max(n - n_positive, 1))
     odds = F.log(((a + 0.5) / (n_positive + 1)) / ((b + 0.5) / (n - n_positive + 1)))
-    best = counted.where((F.col("n") >= 4) & (F.col("n") < n)).select("term", square.alias("s"), odds.alias("odds"))
+    best = counted.select("term", square.alias("s"), odds.alias("odds")).where(F.col("s") >= chance)
     rows = best.where("odds > 0").orderBy(F.desc("s"), "term").limit(most).collect()
     return [(r["term"], r["odds"]) for r in rows]
 
@@ -167,33 +220,27 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column) -> Da
     texts = texts_of(docs)
     spark = docs.sparkSession
     # At most SAMPLE_TOXIC + SAMPLE_CLEAN rows, so broadcasting them is safe at any size of the tables.
-    sample = F.broadcast(spark.createDataFrame(rows, "doc_id bigint, toxic int, low_quality int"))
-    chosen = texts.join(sample, "doc_id")
+    sample = F.broadcast(spark.createDataFrame(rows, _LABELS))
+    alike = ["doc_id", "toxic", "low_quality"]
+    chosen = write_out(texts.join(sample, "doc_id").groupBy(*alike).agg(F.max("text").alias("text")), "labelled")
     n = chosen.agg(F.count(F.lit(1)), F.sum("toxic"), F.sum("low_quality")).first()
     if not n[0] or not n[1]:
         return texts.select("doc_id", *[F.lit(0.0).alias(c) for c in CATEGORIES])
-    schema = "doc_id bigint, toxic int, low_quality int"
     counted = (
-        chosen.select("doc_id", "toxic", "low_quality", "text")
-        .mapInArrow(_row_terms, schema + ", term bigint")
+        chosen.mapInArrow(_row_terms, _LABELS + ", term bigint")
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic"), F.sum("low_quality").alias("low_quality"))
     )
+    counted = write_out(counted.where((F.col("n") >= 4) & (F.col("n") < n[0])), "terms")
     toxic = _telling(counted, "toxic", n[1], n[0], TERMS)
     low = _telling(counted, "low_quality", n[2], n[0], TERMS // 4)
     terms = np.unique(np.array([t for t, _ in toxic + low], np.int64).view(np.uint64))
     by_term = dict(toxic)
     odds = np.array([by_term.get(t, 0.0) for t in terms.view(np.int64).tolist()])
-    seen = (
-        chosen.select("doc_id", "toxic", "low_quality", "text")
-        .mapInArrow(_sample_features(terms, odds), schema + ", x binary")
-        .sort("doc_id", "x")
-        .collect()
-    )
-    x = np.stack([np.frombuffer(r["x"], np.float32) for r in seen]).astype(np.float64)
-    is_toxic, is_low = (np.array([r[c] for r in seen], float) for c in ("toxic", "low_quality"))
-    heat = x[:, -2]
-    severe = (is_toxic > 0) & (heat > np.median(heat[is_toxic > 0]))
-    folds = np.arange(len(x)) % FOLDS
-    chain = Chain(x, np.stack([is_low, is_toxic, severe.astype(float)], axis=1), folds)
+    seen = chosen.mapInArrow(_sample_features(terms, odds), _LABELS + ", x binary").select(
+        "x", "low_quality", "toxic", (F.col("toxic") * F.col("low_quality")).alias("toxic_low_quality"),
+        F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(FOLDS)).cast("int").alias("fold"), F.col("doc_id").alias("id"),
+    )
+    placed = write_out(seen.repartitionByRange(_TASKS, "id").sortWithinPartitions("id").drop("id"), "features")
+    chain = Chain(placed.coalesce(_TASKS), len(terms) + 2)
     return texts.mapInArrow(_predict(chain, terms, odds), "doc_id bigint, " + ", ".join(f"{c} double" for c in CATEGORIES))

@@ -38,8 +38,8 @@ TERMS = 400
 FOLDS = 4
 RIDGE = 1.0
 ROUNDS = 12
-#: Tasks that read the bounded sample. Each returns ``FOLDS`` + 1 matrices of at most 503 x 502 numbers, 10 MB, to the driver.
-_TASKS = 6
+#: Tasks that read the bounded sample. Each returns ``FOLDS`` + 1 upper triangles of at most 127,000 numbers, 5 MB, to the driver.
+_TASKS = 3
 
 _LABELS = "doc_id bigint, toxic int, low_quality int"
 _SUMS = "model int, sums binary"
@@ -140,7 +140,7 @@ def _newton_sums(before: list[np.ndarray], now: np.ndarray, category: int):
                     slope[model] += (p - y[own]) @ mine
                     bend[model] += (mine * (p * (1 - p))[:, None]).T @ mine
         for model in range(len(now)):
-            sums = np.vstack([bend[model], slope[model]]).tobytes()
+            sums = np.concatenate([bend[model][np.triu_indices(width)], slope[model]]).tobytes()
             yield pa.RecordBatch.from_pydict({"model": pa.array([model], pa.int32()), "sums": pa.array([sums], pa.binary())})
 
     return run
@@ -160,13 +160,17 @@ class Chain:
         """Ridge logistic regression by Newton's steps; the last row is the model of all rows."""
         now = np.zeros((FOLDS + 1, width))
         for _ in range(ROUNDS):
-            totals = np.zeros((FOLDS + 1, width + 1, width))
+            upper = np.triu_indices(width)
+            totals = np.zeros((FOLDS + 1, len(upper[0]) + width))
             # One row per task and model, in the order of tasks, so that the last digits do not depend on which ends first.
             for r in rows.mapInArrow(_newton_sums(self.by_fold, now, category), _SUMS).collect():
-                totals[r["model"]] += np.frombuffer(r["sums"], np.float64).reshape(width + 1, width)
+                totals[r["model"]] += np.frombuffer(r["sums"], np.float64)
             largest = 0.0
             for model, sums in enumerate(totals):
-                step = np.linalg.solve(sums[:-1] + RIDGE * np.eye(width), sums[-1] + RIDGE * now[model])
+                bend = np.zeros((width, width))
+                bend[upper] = sums[:-width]
+                bend += np.triu(bend, 1).T
+                step = np.linalg.solve(bend + RIDGE * np.eye(width), sums[-width:] + RIDGE * now[model])
                 now[model] -= step
                 largest = max(largest, np.abs(step).max())
             if largest < 1e-4:  # the next step would be of the order of its square

@@ -18,7 +18,7 @@ from twohop.operators.pairs import (
     top_k,
     with_label,
 )
-from twohop.operators.wedges import middle_weights, two_hop_pairs, wedges
+from twohop.operators.wedges import middle_weights, pair_parts, two_hop_pairs, wedges
 
 __all__ = [
     "attach",
@@ -33,6 +33,7 @@ __all__ = [
     "middle_weights",
     "non_edges",
     "pair_degree_sum",
+    "pair_parts",
     "ranked",
     "simple_graph",
     "source_nodes",

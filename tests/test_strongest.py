@@ -156,3 +156,19 @@ def test_sums_of_given_pairs(spark, edges_of):
     for size in (3, 1000):
         found = shared_sums(asked, bag, {"n": F.lit(1), "k": F.col("src")}, Tuning(slice_rows=size))
         assert sorted(tuple(r) for r in found.collect()) == [(1, 2, 42, 780), (1, 3, 10, 140)]
+
+
+def test_a_written_edge_table_is_not_broadcast_by_its_file_size(spark, edges_of):
+    """400,000 edges are some MB in Parquet, below the threshold, and 20 MB as a broadcast that the driver builds."""
+    name = "spark.sql.sources.fileCompressionFactor"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "1.0")
+        edges = spark.range(400_000).selectExpr("id % 20000 AS src", "id * 7919 % 400009 AS dst")
+        bag = strongest.write_out(edge_bag(edges), "bag")
+        known = bag.select("src", "dst").where("src < dst")
+        pairs = bag.selectExpr("dst AS u", "src AS v")
+        strongest.strongest_links(strongest.write_out(edge_bag(edges_of([(0, 1), (0, 2), (1, 0), (2, 0)])), "small"), "jaccard", 1).collect()
+        assert "BroadcastExchange" not in strongest.non_edges(pairs, known)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(name, before)

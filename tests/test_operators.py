@@ -155,3 +155,24 @@ def test_ranks_and_large_k(spark, monkeypatch):
     monkeypatch.setattr(pairs, "ONE_TASK", 10)
     for k in (0, 10, 11, 100, 500, 900):
         assert sorted(tuple(r) for r in top_k(scores, k).collect()) == sorted(want[:k])
+
+
+@pytest.mark.parametrize("slice_rows", [3, 2000])
+@pytest.mark.parametrize("keep", ["lt", "ne"])
+def test_wedges_dealt_out_by_u_are_the_same(edges_of, keep, slice_rows):
+    """Repeated edges, sources above and below the slice size, a target without edges of its own."""
+    edges, tuning = edges_of([*SALT, (0, 100)]), Tuning(slice_rows=slice_rows)
+    columns = ["k", "u", "v", "copies", "degree", "degree_u", "degree_v"]
+
+    def rows(**options):
+        found = wedges(edges, keep, degree=True, end_degrees=True, tuning=tuning, **options)
+        return Counter(tuple(r[c] for c in columns) for r in found.collect())
+
+    assert rows(parts=3) == rows()
+
+
+def test_sums_by_pair_shuffle_lists_and_not_wedges(edges_of):
+    edges = edges_of(SALT)
+    plan = two_hop_pairs(edges, parts=3)._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("Generate posexplode")]
+    assert "Exchange" not in above and "hashpartitioning(u" in plan

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 import pytest
@@ -176,3 +177,15 @@ def test_sums_by_pair_shuffle_lists_and_not_wedges(edges_of):
     plan = two_hop_pairs(edges, parts=3)._jdf.queryExecution().executedPlan().toString()
     above = plan[: plan.index("Generate posexplode")]
     assert "Exchange" not in above and "hashpartitioning(u" in plan
+
+
+def test_lists_hold_low_bits_of_ids(edges_of):
+    """Ids below zero, near each other and far apart, and repeated edges: the same wedges; and partners travel as ints."""
+    ids = [-(2**63), -5, -1, 0, 3, 2**31 - 1, 2**31, 2**40 + 7, 2**63 - 1]
+    edges = edges_of([(k, x) for k in (1, 2**50) for x in ids] + [(1, 3), (7, 5), (7, 9), (7, 5)])
+    for keep in ("lt", "ne"):
+        columns = ["k", "u", "v", "copies", "degree_u", "degree_v"]
+        plain, dealt = (wedges(edges, keep, end_degrees=True, parts=parts) for parts in (None, 3))
+        assert Counter(map(tuple, dealt.select(columns).collect())) == Counter(map(tuple, plain.select(columns).collect()))
+    plan = two_hop_pairs(edges, parts=3)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Generate posexplode\(partners#\d+\).*, _low#\d+\]", plan)  # a bigint would be _low#1L

@@ -189,3 +189,38 @@ def test_lists_hold_low_bits_of_ids(edges_of):
         assert Counter(map(tuple, dealt.select(columns).collect())) == Counter(map(tuple, plain.select(columns).collect()))
     plan = two_hop_pairs(edges, parts=3)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"Generate posexplode\(partners#\d+\).*, _low#\d+\]", plan)  # a bigint would be _low#1L
+
+
+def test_what_is_left_out_of_a_result_shuffles_nothing_twice(spark, tmp_path):
+    """Pairs alone ask for no copies and no degrees: the edges are folded once, and lists and rows come from one shuffle all the same."""
+    path = str(tmp_path / "edges")
+    spark.createDataFrame([(i % 17, (i * 7) % 23) for i in range(400)], "src bigint, dst bigint").write.parquet(path)
+    edges = spark.read.parquet(path)
+
+    def written(plan, by):
+        return [x for x in plan.splitlines() if re.search(rf"Exchange hashpartitioning\({by}", x) and "ReusedExchange" not in x]
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for tuning in (Tuning(), Tuning(slice_rows=5)):
+            found = distinct_pairs(wedges(edges, end_degrees=True, tuning=tuning, parts=3))
+            found.collect()
+            final = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+            assert len(written(final, r"src#\d+L, dst#\d+L")) <= 1  # none if all read that of a branch left out at run time
+        scored = wedges(edges, degree=True, parts=3).groupBy("u", "v").agg(F.sum("degree").alias("degree_sum"))
+        kept = candidate_semi(scored, non_edges(scored.where(F.col("degree_sum").isNotNull()), edges))
+        kept.collect()
+        final = kept._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert len(written(final, r"u#\d+L, 3\), REPARTITION")) <= 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_partners_near_each_other_travel_as_two_bytes(edges_of):
+    """Ids on both sides of a change in bits 16 to 31, and in the sign of either half."""
+    ids = [0, 1, 2**15 - 1, 2**15, 2**16 - 1, 2**16, 2**31 - 2**15, 2**31 + 5, 2**32 - 1, 2**32, -(2**16), -(2**16) - 1]
+    edges = edges_of([(k, x) for k, own in enumerate((ids, ids[:4], ids[3:6], ids[7:])) for x in own])
+    plain, dealt = (wedges(edges, parts=parts) for parts in (None, 3))
+    assert Counter(map(tuple, dealt.select("k", "u", "v").collect())) == Counter(map(tuple, plain.select("k", "u", "v").collect()))
+    assert "as smallint" in wedges(edges, parts=3)._jdf.queryExecution().analyzed().toString()

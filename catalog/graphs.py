@@ -32,7 +32,8 @@ def co_returned_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def co_returned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return co_returned_bag(spark, sf_dir).select("src", "dst").distinct()
+    # A pair of parts is one row of the bag, and a row each way round: nothing is left to fold.
+    return co_returned_bag(spark, sf_dir).select("src", "dst")
 
 
 def supply(spark: SparkSession, sf_dir: str) -> DataFrame:

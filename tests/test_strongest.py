@@ -172,3 +172,20 @@ def test_a_written_edge_table_is_not_broadcast_by_its_file_size(spark, edges_of)
         assert "BroadcastExchange" not in strongest.non_edges(pairs, known)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set(name, before)
+
+
+def test_runs_leave_their_array_without_it(spark):
+    """What is joined to the pairs may be moved below their counting; rows that carried the array of their node filled the memory there."""
+    met = spark.createDataFrame([(1, 0, 1, [5, 7, 9]), (1, 0, 2, [5, 9]), (1, 0, 1, [9]), (2, 0, 1, [3])], "u bigint, slice bigint, need int, partners array<bigint>")
+    found = strongest._runs(met, 1)
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 5, 2), (1, 9, 3), (2, 3, 1)]
+    known = spark.createDataFrame([(1, 5)], "src bigint, dst bigint")
+    pairs = strongest.non_edges(found, known)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "held" not in plan.split("Generate")[0]
+    assert sorted(tuple(r) for r in pairs.collect()) == [(1, 9, 3), (2, 3, 1)]
+
+
+def test_too_short_runs(spark):
+    met = spark.createDataFrame([(1, 0, 3, [5, 7]), (1, 0, 3, [5]), (2, 0, 5, [3])], "u bigint, slice bigint, need int, partners array<bigint>")
+    assert strongest._runs(met, 1).collect() == []

@@ -16,6 +16,7 @@ from twohop.operators import (
     distinct_pairs,
     edge_bag,
     endpoint_degrees,
+    folded,
     middle_weights,
     non_edges,
     pair_degree_sum,
@@ -27,6 +28,7 @@ from twohop.operators import (
     two_hop_pairs,
     wedges,
     with_label,
+    written_bag,
 )
 from twohop.operators.wedges import hub_sides, linked_pairs, source_rows
 
@@ -224,3 +226,50 @@ def test_partners_near_each_other_travel_as_two_bytes(edges_of):
     plain, dealt = (wedges(edges, parts=parts) for parts in (None, 3))
     assert Counter(map(tuple, dealt.select("k", "u", "v").collect())) == Counter(map(tuple, plain.select("k", "u", "v").collect()))
     assert "as smallint" in wedges(edges, parts=3)._jdf.queryExecution().analyzed().toString()
+
+
+#: Ids that differ from bit 0, 16, 24 or 32 on, or in their sign.
+FAR_IDS = [3, 4, 3 + (1 << 16), 3 + (1 << 17), 3 + (1 << 23), 3 + (1 << 24), 3 + (1 << 31), 3 + (1 << 32), (1 << 62) + 5, -7, -(1 << 40)]
+
+
+@pytest.mark.parametrize("slice_rows", [4, 2_000], ids=["hubs", "lists"])
+@pytest.mark.parametrize("keep", ["lt", "ne"])
+def test_lists_give_back_ids_copies_and_degrees(edges_of, keep, slice_rows):
+    """Ids that differ in any of their bits, no degree, and degrees of one byte and more."""
+    rows = [(10, x) for x in FAR_IDS] + [(11, 3), (11, 4), (11, 3 + (1 << 16)), (12, 3), (12, -7)] * 2 + [(13, 4)]
+    rows += [(3, 1000 + i) for i in range(255)] + [(4, 1000 + i) for i in range(256)] + [(-7, 5)] * 70_000
+    edges, tuning = edges_of(rows), Tuning(slice_rows=slice_rows)
+    of_interest = F.col("k").isin(10, 11, 12, 13)
+    columns = ["k", "u", "v", "copies", "degree", "weight", "degree_u", "degree_v"]
+    dealt = wedges(edges, keep, degree=True, weight=True, end_degrees=True, tuning=tuning, parts=3).where(of_interest).select(columns)
+    plain = wedges(edges, keep, degree=True, weight=True, end_degrees=True, tuning=tuning).where(of_interest).select(columns)
+    found = sorted(map(tuple, dealt.collect()), key=repr)
+    assert found == sorted(map(tuple, plain.collect()), key=repr)
+    ends = {(r[1], r[2]): r[-2:] for r in found}
+    assert ends[3, 4] == (255, 256) and ends[-7, 3] == (70_000, 255)
+
+
+def test_lists_without_hubs_come_from_one_shuffle_of_the_edges(spark, edges_of):
+    """They took five: two to fold the edges, two to join the size of their source, one to meet."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bag = written_bag(edges_of(SALT))
+        assert written_bag(bag) is bag
+        found = wedges(bag, parts=3)
+        assert sorted((r["u"], r["v"], r["copies"]) for r in found.collect()) == sorted(
+            (r["u"], r["v"], r["copies"]) for r in wedges(edges_of(SALT)).collect()
+        )
+        plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("Exchange hashpartitioning(src") == 1 and plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_repeated_edges_are_folded_unless_they_are_known_to_be(edges_of):
+    edges = edges_of([(1, 2), (1, 2), (3, 4), (None, 4), (3, None)])
+    assert sorted(map(tuple, edge_bag(edges).collect())) == [(1, 2, 2), (3, 4, 1)]
+    assert sorted(map(tuple, written_bag(edges).collect())) == [(1, 2, 2), (3, 4, 1)]
+    once = folded(edges_of([(1, 2), (3, 4), (None, 4)]))
+    assert sorted(map(tuple, edge_bag(once).collect())) == [(1, 2, 1), (3, 4, 1)]
+    assert "Exchange" not in edge_bag(once)._jdf.queryExecution().executedPlan().toString()

@@ -3,8 +3,10 @@ from twohop.operators.graph import (
     contract_report,
     degrees,
     edge_bag,
+    folded,
     simple_graph,
     symmetrize,
+    written_bag,
 )
 from twohop.operators.nodes import attach, source_nodes
 from twohop.operators.pairs import (
@@ -30,6 +32,7 @@ __all__ = [
     "distinct_pairs",
     "edge_bag",
     "endpoint_degrees",
+    "folded",
     "middle_weights",
     "non_edges",
     "pair_degree_sum",
@@ -42,4 +45,5 @@ __all__ = [
     "two_hop_pairs",
     "wedges",
     "with_label",
+    "written_bag",
 ]

@@ -13,7 +13,7 @@ import naive
 from twohop import Tuning, adamic_adar, common_neighbors, jaccard, link_scores
 from twohop.operators.graph import edge_bag
 from twohop.operators.pairs import shared_sums
-from twohop.plans import strongest
+from twohop.plans import measures, strongest
 from twohop.store import scratch, shared_folder
 
 MEASURES = {"common_neighbors": common_neighbors, "adamic_adar": adamic_adar, "jaccard": jaccard}
@@ -189,3 +189,21 @@ def test_runs_leave_their_array_without_it(spark):
 def test_too_short_runs(spark):
     met = spark.createDataFrame([(1, 0, 3, [5, 7]), (1, 0, 3, [5]), (2, 0, 5, [3])], "u bigint, slice bigint, need int, partners array<bigint>")
     assert strongest._runs(met, 1).collect() == []
+
+
+@pytest.mark.parametrize("name", MEASURES)
+def test_without_hubs_many_wedges_are_all_formed(edges_of, monkeypatch, name):
+    """The phases moved each edge some twenty times, and asked for every source of every kept pair."""
+    monkeypatch.setattr(measures, "strongest_links", None)
+    rows = graph(5, False)
+    tuning = Tuning(slice_rows=3, light_fan_out=4, part_wedges=50)
+    found = MEASURES[name](edges_of(rows), 12, tuning=tuning).collect()
+    every = MEASURES[name](edges_of(rows)).collect()
+    assert [tuple(r) for r in found] == naive.best({(r["u"], r["v"]): r["score"] for r in every}, 12)
+
+
+def test_hubs_and_few_wedges_are_left_to_the_phases():
+    known = measures.WedgeTotals(wedges=4e6, rows=100_000, most_targets=500)
+    assert measures.form_all(known, Tuning())
+    assert not measures.form_all(known, Tuning(part_wedges=4_000_000))
+    assert not measures.form_all(known, Tuning(edge_wedges=39))
